@@ -430,7 +430,7 @@ def _(r):
 )
 def _(r):
     day, item = cubes.day_cube(r.lines, r.campaign_codes), cubes.item_cube(r.windowed)
-    used = customers.variety_summary(item).select("customer_id", *q.USED_INTS)
+    used = customers.variety_summary(customers.value_table(item)).select("customer_id", *q.USED_INTS)
     parts = [customers.recency(day, REF_YEAR), customers.last_days(day)]
     return reduce(lambda a, b: joins.attach(a, b, ["customer_id"]), parts, used)
 
@@ -491,7 +491,7 @@ def _(r):
 
 @register("coupon_variety__A3", sql(ints("customer_id", *q.USED_INTS), "used", q.USED))
 def _(r):
-    return customers.variety_summary(cubes.item_cube(r.windowed)).select("customer_id", *q.USED_INTS)
+    return customers.variety_summary(customers.value_table(cubes.item_cube(r.windowed))).select("customer_id", *q.USED_INTS)
 
 
 @register("count_per_group__A4", sql(ints("campaign_id", "camp_id_count"), "(select campaign_id, count(id) as camp_id_count from impression group by 1)"))

@@ -45,7 +45,10 @@ def day_cube(lines: DataFrame, campaign: DataFrame) -> DataFrame:
 
 
 def item_cube(w: DataFrame) -> DataFrame:
-    """Rows, coupon rows and newest days per customer, campaign and item with its attributes."""
+    """Rows, coupon rows and newest days per customer, campaign and item with its attributes.
+
+    Attributes belong to the item, so they do not make the groups finer.
+    """
     keys = ("customer_id", "camp_ord", "item_id", "brand", "brand_type", "category")
     ordinal = day_ordinal(F.col("date"))
     return w.groupBy(*keys).agg(
@@ -72,10 +75,13 @@ def count_cells(day: DataFrame, *grid: str) -> DataFrame:
 
 
 def variety_cells(item: DataFrame) -> DataFrame:
-    """Rows, distinct items and distinct brands per customer and campaign, from the item cube."""
+    """Rows, distinct items and distinct brands per customer and campaign, from the item cube.
+
+    The cube has one row per item there, so only the brands need a distinct count.
+    """
     return item.groupBy("customer_id", "camp_ord").agg(
         F.sum("n").alias("n"),
-        F.count_distinct("item_id").alias("item_uniq"),
+        F.count("item_id").alias("item_uniq"),
         F.count_distinct("brand").alias("brand_uniq"),
     )
 

@@ -45,25 +45,22 @@ def spending_summary(w: DataFrame) -> DataFrame:
     )
 
 
-def variety_summary(item: DataFrame) -> DataFrame:
-    """Distinct items, brands and categories per customer, of all rows and of coupon rows.
-
-    Works on the item cube: it is down to one row per customer, campaign and item, so the distinct
-    counts expand that instead of the lines.
-    """
-    outputs = {"item_id": "item", "brand": "brand", "category": "category"}
+def variety_columns(kind: Column, n_coup: Column) -> list[Column]:
+    """Aggregates over ``value_table`` rows: values per kind, of all rows and of coupon rows."""
     used = {"item_id": "item", "brand": "brand", "category": "categ"}
-    bought = F.col("n_coup") > 0
-    per_item = item.groupBy(CUSTOMER, "item_id", "brand", "category").agg(F.sum("n_coup").alias("n_coup"))
-    return per_item.groupBy(CUSTOMER).agg(
-        *[F.count_distinct(c).alias(f"unique_{x}") for c, x in outputs.items()],
-        *[F.count_distinct(F.when(bought, F.col(c))).alias(f"unq_{x}_coup_used") for c, x in used.items()],
-    )
+    return [F.count_if(kind == k).alias(f"unique_{'item' if k == 'item_id' else k}") for k in used] + [
+        F.count_if((kind == k) & (n_coup > 0)).alias(f"unq_{x}_coup_used") for k, x in used.items()
+    ]
+
+
+def variety_summary(values: DataFrame) -> DataFrame:
+    """Distinct items, brands and categories per customer, of all rows and of coupon rows."""
+    return values.groupBy(CUSTOMER).agg(*variety_columns(F.col("kind"), F.col("n_coup")))
 
 
 def customer_summary(w: DataFrame, item: DataFrame) -> DataFrame:
     """The 32 summary columns, the 3 coupon varieties and the 6 ratios."""
-    both = spending_summary(w).join(variety_summary(item), CUSTOMER, "left")
+    both = spending_summary(w).join(variety_summary(value_table(item)), CUSTOMER, "left")
     return with_ratios(both)
 
 
@@ -177,11 +174,11 @@ DAY_MODES = {"YMon": "YMon", "t_mon": "t_mon", "t_wk": "t_wk", "t_dwk": "t_dwk"}
 ITEM_MODES = {"brand": "brand", "category": "category", "item_id": "item_id"}
 
 
-def _modes(long: DataFrame, outputs: dict[str, str]) -> DataFrame:
+def _mode_columns(outputs: dict[str, str]) -> list[Column]:
     """Winners per kind for all rows (MC...) and coupon rows (MC...dis).
 
-    ``long``: customer_id, kind, value, n, newest, item, n_coup, newest_coup, item_coup. More rows
-    win, then the newer day, then the smaller item; two values cannot tie on all three.
+    Over rows of kind, value, n, newest, item, n_coup, newest_coup, item_coup. More rows win, then
+    the newer day, then the smaller item; two values cannot tie on all three.
     """
     out = []
     for kind, cast in outputs.items():
@@ -189,7 +186,7 @@ def _modes(long: DataFrame, outputs: dict[str, str]) -> DataFrame:
             rank = F.struct(f"n{suffix}", f"newest{suffix}", F.negative(F.col(f"item{suffix}")).alias("i"))
             taken = F.when((F.col("kind") == kind) & (F.col(f"n{suffix}") > 0), rank)
             out.append(F.max_by("value", taken).cast(cast).alias(f"MC{kind}{tail}"))
-    return long.groupBy(CUSTOMER).agg(*out)
+    return out
 
 
 def day_modes(day: DataFrame) -> DataFrame:
@@ -209,20 +206,20 @@ def day_modes(day: DataFrame) -> DataFrame:
             F.lit(0).alias("item_coup"),
         )
     )
-    return _modes(long, {k: "bigint" for k in DAY_MODES})
+    return long.groupBy(CUSTOMER).agg(*_mode_columns({k: "bigint" for k in DAY_MODES}))
 
 
-def item_modes(item: DataFrame) -> DataFrame:
-    """Usual brand, category and item per customer.
+def value_table(item: DataFrame) -> DataFrame:
+    """Item cube to one row per customer and distinct item, brand or category, as text.
 
-    The first row of a value is on its newest day and there the line with the smallest item, since
-    all lines of a day fall into the same campaigns.
+    Carries the row counts and the place of the value's first row in newest-first order. That row is
+    on the value's newest day and there the line with the smallest item, since all lines of a day
+    fall into the same campaigns.
     """
-    types = dict(item.dtypes)
     pairs = [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, c in ITEM_MODES.items()]
     first = F.struct("newest", F.negative("item_id").alias("i"))
     first_coup = F.when(F.col("n_coup") > 0, F.struct("newest_coup", F.negative("item_id").alias("i")))
-    long = (
+    return (
         item.select("*", F.explode(F.array(*pairs)).alias("_p"))
         .where(F.col("_p.value").isNotNull())
         .groupBy(CUSTOMER, "_p.kind", "_p.value")
@@ -244,4 +241,11 @@ def item_modes(item: DataFrame) -> DataFrame:
             F.negative("_c.i").alias("item_coup"),
         )
     )
-    return _modes(long, {k: types[c] for k, c in ITEM_MODES.items()})
+
+
+def item_modes(item: DataFrame, variety: bool = False) -> DataFrame:
+    """Usual brand, category and item per customer, on request with the distinct counts."""
+    types = dict(item.dtypes)
+    modes = _mode_columns({k: types[c] for k, c in ITEM_MODES.items()})
+    counts = variety_columns(F.col("kind"), F.col("n_coup")) if variety else []
+    return value_table(item).groupBy(CUSTOMER).agg(*counts, *modes)

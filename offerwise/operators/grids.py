@@ -182,22 +182,14 @@ class Single:
 def widen(stats: DataFrame, families: Iterable[Family | Single]) -> DataFrame:
     """One row per customer with the families' columns.
 
-    ``stats`` has one row per customer and measure, so the pivot combines a fixed number of rows.
+    ``stats`` has one row per customer and measure, so the map gathers a fixed number of entries. A
+    pivot would build every measure times every statistic, most of which no family uses.
     """
     wanted = {k: v for f in families for k, v in f.columns().items()}
-    measures = sorted({m for m, _ in wanted.values()})
     sources = sorted({s for _, s in wanted.values()})
-    if len(sources) == 1:  # a single aggregate keeps the bare pivot value as its name
-        pivoted = stats.groupBy(CUSTOMER).pivot("measure", measures).agg(F.first(sources[0]))
-        return pivoted.select(CUSTOMER, *[F.col(f"`{m}`").alias(out) for out, (m, _) in wanted.items()])
-    pivoted = (
-        stats.groupBy(CUSTOMER)
-        .pivot("measure", measures)
-        .agg(*[F.first(s).alias(s) for s in sources])
-    )
-    return pivoted.select(
-        CUSTOMER, *[F.col(f"`{m}_{s}`").alias(out) for out, (m, s) in wanted.items()]
-    )
+    entry = F.struct("measure", F.struct(*sources))
+    rows = stats.groupBy(CUSTOMER).agg(F.map_from_entries(F.collect_list(entry)).alias("_m"))
+    return rows.selectExpr(CUSTOMER, *[f"_m['{m}'].{s} as `{out}`" for out, (m, s) in wanted.items()])
 
 
 def union_cells(parts: Sequence[DataFrame]) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerwise.functions.codes import CATEGORIES
@@ -34,6 +34,7 @@ from offerwise.operators.grids import (
     union_cells,
     widen,
 )
+from offerwise.sources.staging import stage
 
 # Suffix of the count measures -> grid.
 GRIDS = {"": ("camp_ord",), "_wk": ("camp_ord", "t_wk"), "_dwk": ("camp_ord", "t_dwk")}
@@ -139,9 +140,13 @@ def build_cells(
 
 
 def summarise(cells: DataFrame, chosen: Sequence[Family | Single], form: str = "cumulative") -> DataFrame:
-    """Customer rows with the chosen families' columns."""
-    measures = {m for f in chosen for m, _ in f.columns().values()}
-    return widen(trajectory_stats(cells, {m: kind_of(m) for m in measures}, form), chosen)
+    """Customer rows with the chosen families' columns.
+
+    The cells are staged: they are read once for the list of slots and once for the statistics, and
+    neither should repeat the pass over the lines.
+    """
+    kinds = {m: kind_of(m) for m in measures_of(chosen)}
+    return widen(trajectory_stats(stage(cells, "cells"), kinds, form), chosen)
 
 
 def measures_of(chosen: Sequence[Family | Single]) -> set[str]:
@@ -159,13 +164,18 @@ def campaign_trajectory(
 ) -> DataFrame:
     """One family by name, straight from the lines and their windowed form."""
     chosen = families(quirks, categories)[name]
-    coupon: Column = F.col("coup_yes") == 1
+    measures = measures_of(chosen)
+
+    def any_of(*stems: str) -> bool:
+        return any(m.startswith(stems) for m in measures)
+
+    coupon_rows = F.col("coup_yes") == 1
     cells = build_cells(
-        measures_of(chosen),
-        day=day_cube(lines, campaign),
-        item=item_cube(windowed),
-        price=price_cube(windowed),
-        price_coupon=price_cube(windowed, where=coupon) if quirks == "clean" else None,
+        measures,
+        day=day_cube(lines, campaign) if any_of("trips", "coupon_share", "camp") else None,
+        item=item_cube(windowed) if any_of("item_", "brand", "cat") else None,
+        price=price_cube(windowed) if any_of(*PRICE_AGGS) else None,
+        price_coupon=price_cube(windowed, where=coupon_rows) if quirks == "clean" else None,
     )
     return summarise(cells, chosen, stats)
 

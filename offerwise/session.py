@@ -24,6 +24,7 @@ def local_session(name: str, cores: int | str = "*", shuffle_partitions: int = 8
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )

@@ -15,9 +15,24 @@ from pyspark.sql import functions as F
 from offerwise.operators.campaigns import campaign_order, campaign_window_join, prepare_campaigns
 from offerwise.operators.joins import lookup
 from offerwise.operators.lines import add_items, describe_lines
+from offerwise.sources.tables import spread
 
 # The part types of the star schema; the position is the code.
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+# Columns of the star schema's tables, in file order.
+SCHEMAS = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
 CAMPAIGNS = 28
 TRAIN_CAMPAIGNS = 18
 REF_YEAR = 2001
@@ -29,7 +44,7 @@ class RetailTables:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def campaign(self) -> DataFrame:
@@ -62,7 +77,8 @@ class RetailTables:
     def transactions(self) -> DataFrame:
         c = F.col
         with_coupon = (c("l_returnflag") == "R") & (c("l_linestatus") == "F")
-        lines, orders = self.table("lineitem"), self.table("orders")
+        lines = spread(self.table("lineitem"), "l_orderkey", "l_linenumber")
+        orders = self.table("orders")
         return lines.join(orders, c("l_orderkey") == c("o_orderkey")).select(
             c("o_orderdate").cast("date").alias("date"),
             c("o_custkey").alias("customer_id"),
