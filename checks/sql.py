@@ -180,7 +180,7 @@ def grid_part(cells_ctes: list[str], cells: str, prefix: str, fill: str, form: s
     return level, diff
 
 
-def trajectory_parts(categories: int = 6, quirks: str = "reference", form: str = "cumulative") -> dict[str, list[Part]]:
+def trajectory_parts(categories: int = 6, quirks: str = "original", form: str = "cumulative") -> dict[str, list[Part]]:
     """Parts per family name."""
     out: dict[str, list[Part]] = {}
     for suffix, trips, share in (("", "TT", "CT"), ("_wk", "wkT", "wkCT"), ("_dwk", "wkdT", "wkdCT")):
@@ -196,7 +196,7 @@ def trajectory_parts(categories: int = 6, quirks: str = "reference", form: str =
         out[f"{m}_all"] = list(grid_part([price_cells(f"tt_{m}", m)], f"tt_{m}", f"TT_{m}", "null", form))
         where = "coup_yes = 1" if quirks == "clean" else "true"
         out[f"{m}_coupon"] = list(grid_part([price_cells(f"ct_{m}", m, where)], f"ct_{m}", f"CT_{m}", "null", form))
-    if quirks == "reference":
+    if quirks == "original":
         level, _ = out["sp_qty_std_coupon"]
         level = Part(level.ctes, level.table, [f"CT_sp_qty_std_{s}" for s in ("min", "max", "std")])
         g = "g_ct_sp_qty_std"
@@ -245,7 +245,7 @@ def join_parts(parts: list[Part], base: str | None = None) -> tuple[list[str], l
     return ctes, [c for p in parts for c in p.columns], source
 
 
-def family_sql(name: str, quirks: str = "reference", form: str = "cumulative") -> str:
+def family_sql(name: str, quirks: str = "original", form: str = "cumulative") -> str:
     ctes, columns, source = join_parts(trajectory_parts(quirks=quirks, form=form)[name])
     return query(ctes, ints("customer_id") + dbls(*columns), source)
 

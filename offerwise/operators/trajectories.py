@@ -73,8 +73,8 @@ def _price_families(coupon_only: bool) -> dict[str, tuple[Family | Single, ...]]
     return out
 
 
-def families(quirks: str = "reference", categories: Sequence[str] = CATEGORIES) -> dict[str, tuple[Family | Single, ...]]:
-    """All families by name. ``quirks`` is "reference" or "clean" (see ``_price_families``)."""
+def families(quirks: str = "original", categories: Sequence[str] = CATEGORIES) -> dict[str, tuple[Family | Single, ...]]:
+    """All families by name. ``quirks`` is "original" or "clean" (see ``_price_families``)."""
     out: dict[str, tuple[Family | Single, ...]] = dict(_count_families())
     out["item_variety"] = (Family("TT_uniq_item_p", "item_variety"),)
     out["brand_variety"] = (Family("TT_uniq_brand_p", "brand_variety"),)
@@ -159,7 +159,7 @@ def campaign_trajectory(
     campaign: DataFrame,
     name: str,
     stats: str = "cumulative",
-    quirks: str = "reference",
+    quirks: str = "original",
     categories: Sequence[str] = CATEGORIES,
 ) -> DataFrame:
     """One family by name, straight from the lines and their windowed form."""
