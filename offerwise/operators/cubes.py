@@ -7,7 +7,8 @@ already merged groups:
 * day cube: customer x day x campaign. Everything that depends on a line only through its date.
   It is aggregated before the calendar join, so the fan-out multiplies days, not lines.
 * item cube: customer x campaign x item. Variety, segment rates and modal items.
-* price cube: customer x campaign. Means and deviations of unit prices.
+* price cube: customer x campaign. Means and deviations of unit prices. The spend cube holds the same
+  groups with size, mean and variance of every price, from which customer totals can be pooled too.
 """
 
 from __future__ import annotations
@@ -69,6 +70,44 @@ def price_cube(
     )
 
 
+# Prices and amounts of the spend cube.
+SPEND = ("sp_qty", "other_dis_qty", "coup_dis_qty", "tot_dis_qty", "pp_qty", "dis_p", "cdis_p", "quantity")
+
+
+def spend_cube(w: DataFrame) -> DataFrame:
+    """Rows, discount uses and the size, mean and variance of every price per customer and campaign."""
+    return w.groupBy("customer_id", "camp_ord").agg(
+        F.count("*").alias("n"),
+        _coupon_rows(),
+        F.sum("other_yes").alias("n_other"),
+        F.min("quantity").alias("quantity_min"),
+        F.max("quantity").alias("quantity_max"),
+        *[
+            x
+            for p in SPEND
+            for x in (
+                F.count(p).alias(f"{p}_n"),
+                F.avg(p).alias(f"{p}_avg"),
+                F.var_pop(p).alias(f"{p}_var"),
+            )
+        ],
+    )
+
+
+def prices_of(spend: DataFrame) -> DataFrame:
+    """Price cube columns from the spend cube."""
+
+    def column(p: str, how: str) -> Column:
+        if how == "mean":
+            return F.col(f"{p}_avg")
+        n = F.col(f"{p}_n")
+        return F.when(n > 1, F.sqrt(F.col(f"{p}_var") * n / (n - 1)))
+
+    return spend.select(
+        "customer_id", "camp_ord", *[column(p, how).alias(out) for out, (p, how) in PRICE_AGGS.items()]
+    )
+
+
 def count_cells(day: DataFrame, *grid: str) -> DataFrame:
     """Rows and coupon rows per customer and grid column, from the day cube."""
     return day.groupBy("customer_id", *grid).agg(F.sum("n").alias("n"), F.sum("n_coup").alias("n_coup"))

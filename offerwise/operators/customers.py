@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +46,59 @@ def spending_summary(w: DataFrame) -> DataFrame:
     )
 
 
+def pooled_summary(spend: DataFrame, day: DataFrame) -> DataFrame:
+    """The columns of :func:`spending_summary`, from the spend cube and the day cube.
+
+    Saves a pass over the lines. Group means and variances are pooled around the customer's mean,
+    which a window over the customer's few campaigns or days provides, so nothing cancels out.
+    """
+    whole = Window.partitionBy(CUSTOMER)
+
+    def around(n: str, avg: str) -> Column:
+        total = F.sum(F.col(n) * F.col(avg)).over(whole)
+        return ratio(total, F.sum(n).over(whole))
+
+    def pooled(out: str, n: Column, mean: Column, squares: Column) -> list[Column]:
+        size = F.sum(n)
+        return [
+            F.max(mean).alias(f"{out}_mean"),
+            F.when(size > 1, F.sqrt(F.sum(squares) / (size - 1))).alias(f"{out}_std"),
+        ]
+
+    c = F.col
+    names = {p: p for p in _PRICES} | {"quantity": "qty"}
+    prices = spend.withColumns({f"{p}_all": around(f"{p}_n", f"{p}_avg") for p in names})
+    by_price = prices.groupBy(CUSTOMER).agg(
+        F.sum("n_coup").alias("total_coup_used"),
+        F.sum("n").alias("total_trans"),
+        F.sum("n_other").alias("total_other_coup_used"),
+        F.min("quantity_min").alias("qty_min"),
+        F.max("quantity_max").alias("qty_max"),
+        *[
+            x
+            for p, out in names.items()
+            for x in pooled(
+                out,
+                c(f"{p}_n"),
+                c(f"{p}_all"),
+                c(f"{p}_n") * (c(f"{p}_var") + (c(f"{p}_avg") - c(f"{p}_all")) * (c(f"{p}_avg") - c(f"{p}_all"))),
+            )
+        ],
+    )
+    days = ("YMon", "t_dwk", "t_d")
+    dated = day.withColumns({f"{d}_all": around("n", d) for d in days})
+    by_day = dated.groupBy(CUSTOMER).agg(
+        F.min("t_d").alias("t_d_min"),
+        F.max("t_d").alias("t_d_max"),
+        *[
+            x
+            for d in days
+            for x in pooled(d, c("n"), c(f"{d}_all"), c("n") * (c(d) - c(f"{d}_all")) * (c(d) - c(f"{d}_all")))
+        ],
+    )
+    return by_price.join(by_day, CUSTOMER, "left")
+
+
 def variety_columns(kind: Column, n_coup: Column) -> list[Column]:
     """Aggregates over ``value_table`` rows: values per kind, of all rows and of coupon rows."""
     used = {"item_id": "item", "brand": "brand", "category": "categ"}
@@ -177,36 +231,51 @@ ITEM_MODES = {"brand": "brand", "category": "category", "item_id": "item_id"}
 def _mode_columns(outputs: dict[str, str]) -> list[Column]:
     """Winners per kind for all rows (MC...) and coupon rows (MC...dis).
 
-    Over rows of kind, value, n, newest, item, n_coup, newest_coup, item_coup. More rows win, then
-    the newer day, then the smaller item; two values cannot tie on all three.
+    Over rows of kind, value, n, place, n_coup, place_coup. More rows win, then the value whose
+    first row comes first, which is the one with the larger place.
     """
     out = []
     for kind, cast in outputs.items():
         for suffix, tail in (("", ""), ("_coup", "dis")):
-            rank = F.struct(f"n{suffix}", f"newest{suffix}", F.negative(F.col(f"item{suffix}")).alias("i"))
+            rank = F.struct(f"n{suffix}", f"place{suffix}")
             taken = F.when((F.col("kind") == kind) & (F.col(f"n{suffix}") > 0), rank)
             out.append(F.max_by("value", taken).cast(cast).alias(f"MC{kind}{tail}"))
     return out
 
 
-def day_modes(day: DataFrame) -> DataFrame:
-    """Usual month, week and weekday per customer. Two different values never share a day."""
-    pairs = [F.struct(F.lit(k).alias("kind"), F.col(c).cast("bigint").alias("value")) for k, c in DAY_MODES.items()]
-    newest_coup = F.max(F.when(F.col("n_coup") > 0, F.col("date_ord")))
-    long = (
-        day.select(CUSTOMER, "n", "n_coup", "date_ord", F.explode(F.array(*pairs)).alias("_p"))
-        .select(CUSTOMER, "_p.kind", "_p.value", "n", "n_coup", "date_ord")
-        .groupBy(CUSTOMER, "kind", "value")
+def _value_rows(cube: DataFrame, kinds: dict[str, str], cast: str, place: Column, place_coup: Column) -> DataFrame:
+    """Cube to one row per customer, kind and distinct non-null value, with row counts and places."""
+    pairs = [F.struct(F.lit(k).alias("kind"), F.col(c).cast(cast).alias("value")) for k, c in kinds.items()]
+    return (
+        cube.select(
+            CUSTOMER, "n", "n_coup", place.alias("_p"), place_coup.alias("_c"), F.explode(F.array(*pairs)).alias("_v")
+        )
+        .where(F.col("_v.value").isNotNull())
+        .groupBy(CUSTOMER, "_v.kind", "_v.value")
         .agg(
             F.sum("n").alias("n"),
-            F.max("date_ord").alias("newest"),
-            F.lit(0).alias("item"),
+            F.max("_p").alias("place"),
             F.sum("n_coup").alias("n_coup"),
-            newest_coup.alias("newest_coup"),
-            F.lit(0).alias("item_coup"),
+            F.max(F.when(F.col("n_coup") > 0, F.col("_c"))).alias("place_coup"),
         )
     )
-    return long.groupBy(CUSTOMER).agg(*_mode_columns({k: "bigint" for k in DAY_MODES}))
+
+
+def day_modes(day: DataFrame) -> DataFrame:
+    """Usual month, week and weekday per customer. Two different values never share a day."""
+    place = F.col("date_ord")
+    values = _value_rows(day, DAY_MODES, "bigint", place, place)
+    return values.groupBy(CUSTOMER).agg(*_mode_columns({k: "bigint" for k in DAY_MODES}))
+
+
+def _place(newest: str) -> Column:
+    """Newer days first, then smaller items, as one number.
+
+    A decimal keeps the aggregate on fixed-width buffers, which hashing needs; a struct would make
+    Spark sort all rows before they combine.
+    """
+    days = F.col(newest).cast("decimal(18,0)") * F.lit(Decimal(2**64))
+    return (days - F.col("item_id").cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
 def value_table(item: DataFrame) -> DataFrame:
@@ -216,31 +285,7 @@ def value_table(item: DataFrame) -> DataFrame:
     on the value's newest day and there the line with the smallest item, since all lines of a day
     fall into the same campaigns.
     """
-    pairs = [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, c in ITEM_MODES.items()]
-    first = F.struct("newest", F.negative("item_id").alias("i"))
-    first_coup = F.when(F.col("n_coup") > 0, F.struct("newest_coup", F.negative("item_id").alias("i")))
-    return (
-        item.select("*", F.explode(F.array(*pairs)).alias("_p"))
-        .where(F.col("_p.value").isNotNull())
-        .groupBy(CUSTOMER, "_p.kind", "_p.value")
-        .agg(
-            F.sum("n").alias("n"),
-            F.max(first).alias("_f"),
-            F.sum("n_coup").alias("n_coup"),
-            F.max(first_coup).alias("_c"),
-        )
-        .select(
-            CUSTOMER,
-            "kind",
-            "value",
-            "n",
-            "n_coup",
-            F.col("_f.newest").alias("newest"),
-            F.negative("_f.i").alias("item"),
-            F.col("_c.newest_coup").alias("newest_coup"),
-            F.negative("_c.i").alias("item_coup"),
-        )
-    )
+    return _value_rows(item, ITEM_MODES, "string", _place("newest"), _place("newest_coup"))
 
 
 def item_modes(item: DataFrame, variety: bool = False) -> DataFrame:

@@ -101,10 +101,9 @@ def shifts(
             rows = step(rows, key, list(order), cols)
         return rows
 
-    hot = hot_groups(df, key, hot_rows)
+    hot = stage(hot_groups(df, key, hot_rows), "hot-groups")
     if hot.isEmpty():
         return run(df, _shifts_within_group)
-    hot = stage(hot, "hot-groups")
     columns = df.columns + [out for _, cols in specs for out in cols]
     cold_rows = run(lookup(df, hot, [key], "left_anti"), _shifts_within_group)
     hot_part = run(lookup(df, hot, [key], "left_semi"), _shifts_across_tasks)

@@ -62,6 +62,19 @@ def test_summary_counts_after_the_fan_out(shop):
     assert two.cust_coupvsother_used_p is None and two.qty_std is None
 
 
+def test_pooled_summary_equals_the_one_from_lines(shop, retail):
+    described, codes, w = shop
+    for day, spend, rows_ in (
+        (cubes.day_cube(described, codes), cubes.spend_cube(w), w),
+        (cubes.day_cube(retail.lines, retail.campaign_codes), cubes.spend_cube(retail.windowed), retail.windowed),
+    ):
+        want = customers.spending_summary(rows_)
+        got = customers.pooled_summary(spend, day).select(want.columns)
+        for a, b in zip(want.orderBy("customer_id").collect(), got.orderBy("customer_id").collect()):
+            for name, x, y in zip(want.columns, a, b):
+                assert (y is None) if x is None else y == pytest.approx(x, rel=1e-9, abs=1e-9), name
+
+
 def test_recency_of_lines_and_of_the_day_cube_agree(shop):
     described, codes, w = shop
     want = [(1, 184 - 13, 184 - 13), (2, None, 184 - 4)]
@@ -132,7 +145,8 @@ def test_whole_table_has_every_feature_once_per_customer(shop):
 
 def test_plans_stay_in_the_jvm_and_combine_before_the_shuffle(shop, retail):
     described, codes, w = shop
-    for df in (cubes.day_cube(described, codes), cubes.item_cube(w), cubes.price_cube(w), customers.spending_summary(w)):
+    item = cubes.item_cube(w)
+    for df in (cubes.day_cube(described, codes), item, cubes.price_cube(w), cubes.spend_cube(w), customers.value_table(item)):
         text = plan(df)
         assert "Python" not in text and "NestedLoop" not in text
         assert text.count("HashAggregate") >= 2 and "SortAggregate" not in text
