@@ -68,6 +68,10 @@ def _(r):
     return tables.read_table(r.spark, path, "train")
 
 
+def _coupon_cube(r):
+    return coupons.coupon_cube(coupons.add_items(r.coupon_item, r.item))
+
+
 def _coupon_prob(r):
     return r.offers.where(C("train_set") == 1).groupBy("coupon_id").agg(F.avg("redemption_status").alias("redemption_status"))
 
@@ -451,7 +455,7 @@ def _(r):
     sql(ints("id", *q.COUPON_SUM_INTS, "total_trans", "total_coup_used"), "impression left join coupon_sum using (coupon_id) left join summary using (customer_id)", q.COUPON_SUMMARY, q.SUMMARY),
 )
 def _(r):
-    coupon = coupons.coupon_summary(coupons.add_items(r.coupon_item, r.item))
+    coupon = coupons.coupon_summary(_coupon_cube(r))
     customer = customers.spending_summary(r.windowed).select("customer_id", "total_trans", "total_coup_used")
     return tt.assemble(r.offers, coupon, customer).select("id", *q.COUPON_SUM_INTS, "total_trans", "total_coup_used")
 
@@ -501,7 +505,7 @@ def _(r):
 
 @register("one_hot_sums__A5", sql(ints("coupon_id", *q.COUPON_BREADTH_INTS), "coupon_breadth", q.COUPON_BREADTH))
 def _(r):
-    return coupons.coupon_breadth(coupons.add_items(r.coupon_item, r.item), CATEGORIES)
+    return coupons.coupon_breadth(_coupon_cube(r), CATEGORIES)
 
 
 @register("recency__A6", sql(ints("customer_id", *q.RECENCY_INTS), "recent", q.recency_cte()))
@@ -534,7 +538,7 @@ def _(r):
 
 @register("usual_coupon_items__A7b_C2", sql(ints("coupon_id", *q.COUPON_MODE_INTS) + strs("MCCoupbrand", "MCCoupcategory_c"), "coupon_modes", *q.COUPON_MODES))
 def _(r):
-    return coupons.coupon_mode(coupons.add_items(r.coupon_item, r.item), CATEGORIES)
+    return coupons.coupon_mode(_coupon_cube(r), CATEGORIES)
 
 
 SLOTS = range(1, CAMPAIGNS + 1)
@@ -584,7 +588,7 @@ def _(r):
 
 @register("category_counts__A12_C3", sql(ints("coupon_id", *q.COUPON_COUNT_INTS), "coupon_counts", q.COUPON_COUNTS))
 def _(r):
-    return coupons.coupon_category_counts(coupons.add_items(r.coupon_item, r.item), CATEGORIES)
+    return coupons.coupon_category_counts(_coupon_cube(r), CATEGORIES)
 
 
 @register("distinct_rows__A13_U3", sql(ints("customer_id", "date_ord"), "(select distinct customer_id, date_ord from w where coup_yes = 1)"))
@@ -785,7 +789,7 @@ def _(r):
 
 @register("coupon_summary__C1", sql(ints("coupon_id", *q.COUPON_SUM_INTS) + dbls(*q.COUPON_SUM_DBLS), "coupon_sum", q.COUPON_SUMMARY))
 def _(r):
-    return coupons.coupon_summary(coupons.add_items(r.coupon_item, r.item))
+    return coupons.coupon_summary(_coupon_cube(r))
 
 
 @register("coupon_table__C4", sql(ints("coupon_id", *q.COUPON_INTS) + dbls(*q.COUPON_SUM_DBLS) + strs("MCCoupbrand", "MCCoupcategory_c"), q.COUPON_TABLE, *q.COUPON_CTES))

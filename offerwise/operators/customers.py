@@ -213,7 +213,8 @@ def mode_per_group(df: DataFrame, keys: Sequence[str], value: str, order: Sequen
     ``order`` are expressions of which the smallest tuple is the first row. Counts combine per
     (group, value) before any row of the group meets another, so a hot group is harmless.
     """
-    first = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    # A single expression stays a plain column, so that the counting can hash.
+    first = order[0] if len(order) == 1 else F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)

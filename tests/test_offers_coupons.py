@@ -21,7 +21,7 @@ def mapping(spark):
 
 
 def test_breadth_counts_pairs_not_items(mapping):
-    table = coupons.coupon_breadth(coupons.add_items(*mapping), CATS)
+    table = coupons.coupon_breadth(coupons.coupon_cube(coupons.add_items(*mapping)), CATS)
     assert rows(table) == [(1, 2, 1, 1, 1), (2, 0, 0, 0, 0)]
 
 
