@@ -1,4 +1,4 @@
-"""Headline queries, timed after one warm-up run each.
+"""Headline queries: the second of two runs, or the first one where that took over ten seconds.
 
 BENCH_SF_DIR names the data folder, BENCH_CPUS the number of local cores. Prints one JSON line.
 """
@@ -49,12 +49,12 @@ def main() -> None:
     seconds = {}
     for name in wanted:
         first = run(spark, folder, name)
-        seconds[name] = round(run(spark, folder, name), 3)
-        print(f"{name}: first {first:.2f}s, warm {seconds[name]:.2f}s", file=sys.stderr, flush=True)
+        seconds[name] = round(first if first > 10 else run(spark, folder, name), 3)
+        print(f"{name}: first {first:.2f}s, kept {seconds[name]:.2f}s", file=sys.stderr, flush=True)
     print(
         json.dumps(
             {
-                "metric": "seconds for all headline queries, warm",
+                "metric": "seconds for all headline queries",
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,

@@ -19,7 +19,7 @@ from offerwise.plans import customer_table as ct
 from offerwise.plans import model
 from offerwise.plans import training_table as tt
 from offerwise.sources import tables
-from offerwise.sources.retail import CAMPAIGNS, CATEGORIES, REF_YEAR, TRAIN_CAMPAIGNS, RetailTables
+from offerwise.sources.retail import CAMPAIGNS, CATEGORIES, REF_YEAR, RetailTables
 from offerwise.sources.staging import new_path, stage
 
 C = F.col
@@ -465,6 +465,13 @@ def _(r):
     return r.windowed.select(*LINE_KEYS, "campaign_id", "camp_ord", "campaign_type")
 
 
+@register("campaign_window_join_shuffled__J5", REGISTRY["campaign_window_join__J5"][1])
+def _(r):
+    # The way taken when the calendar is too large to broadcast.
+    w = campaigns.campaign_window_join(r.lines, r.campaign_codes, max_rows=0)
+    return w.select(*LINE_KEYS, "campaign_id", "camp_ord", "campaign_type")
+
+
 @register(
     "grid_alignment__J7",
     sql(ints("customer_id", "camp_ord") + dbls("price_ratio"),
@@ -681,6 +688,15 @@ for _id, _prefix in (("W2a", "cus_str"), ("W2b", "cus_camp"), ("W2c", "cus_coup"
         return table.select("id", *q.shift_names(prefix))
 
 
+# The same sequences with every customer above ten offers sent through the range-partitioned path.
+for _id, _prefix in (("W2a", "cus_str"), ("W2c", "cus_coup")):
+
+    @register(f"{_prefix}_shifts_split__{_id}", REGISTRY[f"{_prefix}_shifts__{_id}"][1])
+    def _(r, prefix=_prefix):
+        table = offers.neighbour_offers(offers.add_campaign(r.offers, r.campaign), (prefix,), hot_rows=10)
+        return table.select("id", *q.shift_names(prefix))
+
+
 @register("start_gaps__W3a", sql(ints("id", *q.START_GAPS), "gaps", *q.OFFER_CTES))
 def _(r):
     table = offers.neighbour_offers(offers.add_campaign(r.offers, r.campaign), ("cus_str",))
