@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerwise.llm import licenses, packing, secrets
-from offerwise.llm.common import read_documents
+from offerwise.llm import langid, licenses, packing, quality, secrets, urls
+from offerwise.llm.common import prepare, read_documents
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -34,3 +34,18 @@ def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_packing")
 def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op3_quality", quality.SQL)
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_documents(spark, sf_dir))
+
+
+@register("op8_langid")
+def _langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op9_urls", urls.SQL)
+def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_pages(prepare(spark).read.parquet(f"{sf_dir}/pages.parquet"))
