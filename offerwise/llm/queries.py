@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerwise.llm import langid, licenses, packing, quality, secrets, urls
+from offerwise.llm import fingerprints, langid, licenses, packing, quality, secrets, urls
 from offerwise.llm.common import prepare, read_documents
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -49,3 +49,8 @@ def _langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_urls", urls.SQL)
 def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_pages(prepare(spark).read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@register("op2_fingerprints")
+def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(read_documents(spark, sf_dir))
