@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerwise.llm import fingerprints, langid, licenses, packing, quality, secrets, urls
+from offerwise.llm import bpe, fingerprints, jaccard, langid, licenses, packing, quality, repeats, secrets, urls
 from offerwise.llm.common import prepare, read_documents
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -54,3 +54,19 @@ def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_fingerprints")
 def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(read_documents(spark, sf_dir))
+
+
+@register("op4_repeats")
+def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_documents(spark, sf_dir))
+
+
+@register("op7_bpe")
+def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode(read_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
+@register("op10_jaccard")
+def _jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read_documents(spark, sf_dir))
