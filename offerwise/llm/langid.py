@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from offerwise.sources.staging import stage
 
@@ -226,6 +227,22 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return slim.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
+def with_prediction(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with the columns lang_pred and score added; it must not have columns of these names."""
+    names = docs.columns
+    at = names.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = StructType([*docs.schema, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shared.value.predict(text) for text in batch.column(at).to_pylist()]
+            more = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*names, "lang_pred", "score"])
+
+    return docs.mapInArrow(run, schema)
+
+
 def identify(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Fit on the labelled rows that are not held out, then predict every row."""
     slim = docs.select("doc_id", "text", "lang")
