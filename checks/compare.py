@@ -27,8 +27,10 @@ def database(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(x):
-    if x is None or (isinstance(x, float) and math.isnan(x)):
+    if x is None:
         return ""
+    if isinstance(x, float) and math.isnan(x):
+        return "nan"
     return repr(float(x)) if isinstance(x, float) else str(x)
 
 

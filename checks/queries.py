@@ -107,7 +107,11 @@ def _(r):
 
 # Profiling ----------------------------------------------------------------------------------
 
-PROFILED = ("date", "customer_id", "item_id", "quantity", "brand", "category", "sp_qty", "cdis_p", "dis_p")
+PROFILED = (
+    "date", "customer_id", "item_id", "quantity", "selling_price", "other_discount", "coupon_discount", "order_id",
+    "line_no", "store_id", "brand", "brand_type", "category", "t_yr", "t_mon", "t_wk", "t_d", "t_dwk", "YMon", "Yday",
+    "other_yes", "coup_yes", "sp_qty", "other_dis_qty", "coup_dis_qty", "tot_dis_qty", "pp_qty", "cdis_p", "dis_p",
+)
 NULLS = " union all ".join(f"select '{c}' as \"column\", count(*) - count({c}) as nulls from line" for c in PROFILED)
 
 
@@ -410,9 +414,13 @@ def _(r):
     return r.windowed.where((C("t_yr") == 2000) & (C("coup_yes") == 1)).select(*LINE_KEYS, "camp_ord")
 
 
-@register("split_unlabelled__F4", sql(ints(*q.OFFER_KEYS), "impression where train_set = 0"))
+@register(
+    "split_unlabelled__F4",
+    sql(ints(*q.OFFER_KEYS) + strs("part"), "(select *, case when train_set = 1 then 'train' else 'test' end as part from impression)"),
+)
 def _(r):
-    return offers.split(r.offers)[1]
+    train, test = offers.split(r.offers)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
 # Joins --------------------------------------------------------------------------------------
@@ -752,10 +760,19 @@ def _(r):
 # Order and set operations -------------------------------------------------------------------
 
 
-@register("newest_first__O1", sql(ints(*LINE_KEYS, "camp_ord", "rn"), "(select *, rn_all as rn from wr where rn_all <= 25)"))
+NEWEST = sql(ints(*LINE_KEYS, "camp_ord", "rn"), "(select *, rn_all as rn from wr)")
+
+
+@register("newest_first__O1", NEWEST)
+def _(r):
+    order = customers.newest_first(r.windowed)
+    return ordering.group_positions(r.windowed, "customer_id", order, "rn").select(*LINE_KEYS, "camp_ord", "rn")
+
+
+@register("newest_first_split__O1", NEWEST)
 def _(r):
-    top = ordering.top_n_per_group(r.windowed, ["customer_id"], customers.newest_first(r.windowed), 25)
-    return top.select(*LINE_KEYS, "camp_ord", "rn")
+    order = customers.newest_first(r.windowed)
+    return ordering.group_positions(r.windowed, "customer_id", order, "rn", hot_rows=60).select(*LINE_KEYS, "camp_ord", "rn")
 
 
 @register(

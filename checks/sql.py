@@ -30,8 +30,10 @@ txn as (
          l_orderkey as order_id, l_linenumber as line_no, l_suppkey as store_id
   from lineitem join orders on l_orderkey = o_orderkey),
 coupon_item as (
-  select s_suppkey as coupon_id, p_partkey as item_id
-  from supplier join part on p_partkey % 100 = s_suppkey % 100 and p_size <= 5 + (s_suppkey % 10) * 5),
+  select coupon_id, item_id from (
+    select p_partkey % 100 as coupon_id, p_partkey as item_id, p_size from part
+    union select (p_partkey * 7 + 3) % 100, p_partkey, p_size from part)
+  where p_size <= 5 + (coupon_id % 10) * 5),
 ci as (select coupon_id, i.* from coupon_item left join item i using (item_id)),
 impression as (
   select o_orderkey as id, c.campaign_id, o_orderkey % 100 as coupon_id, o_custkey as customer_id,

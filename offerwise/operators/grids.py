@@ -125,24 +125,25 @@ def trajectory_stats(cells: DataFrame, kinds: Mapping[str, str], form: str = "cu
         F.max(F.when(pos == last - 1, F.col("x1"))).alias("tail_step"),
         F.first("_count").alias("_count"),
         (F.first("last_pos") - 1).alias("_n"),
-        (F.count("x1") + F.count("x2")).alias("_touched"),
-        F.min("x2").alias("_min2"),
-        F.max("x2").alias("_max2"),
-        (F.coalesce(F.sum("x1"), F.lit(0.0)) + F.coalesce(F.sum("x2"), F.lit(0.0))).alias("_sum"),
-        (
-            F.coalesce(F.sum(F.col("x1") * F.col("x1")), F.lit(0.0))
-            + F.coalesce(F.sum(F.col("x2") * F.col("x2")), F.lit(0.0))
-        ).alias("_squares"),
+        *moments(F.col("x2"), "_away"),
     )
-    # Zero-filled rows: the untouched differences are zeros. Counts are whole numbers, so the
-    # sum of squares is exact and needs no second pass.
-    n, zero = F.col("_n"), F.when(F.col("_n") > F.col("_touched"), F.lit(0.0))
+    # Zero-filled rows: the untouched differences are zeros. Arrivals, departures and zeros are three
+    # groups whose variances are pooled around the common mean, so large counts do not cancel out.
+    n = F.col("_n")
+    none = F.greatest(n - F.col("diff_n") - F.col("_away_n"), F.lit(0))
+    zero = F.when(none > 0, F.lit(0.0))
+    parts = [(F.col(f"{p}_n"), *(F.coalesce(f"{p}_{x}", F.lit(0.0)) for x in ("avg", "var"))) for p in ("diff", "_away")]
+    sums = sums.withColumn("_mean", ratio(parts[0][0] * parts[0][1] + parts[1][0] * parts[1][1], n))
+    mean = F.col("_mean")
+    squares = none * mean * mean
+    for size, avg, var in parts:
+        squares = squares + size * (var + (avg - mean) * (avg - mean))
     dense = {
         "diff_n": n,
-        "diff_min": F.least("diff_min", "_min2", zero),
-        "diff_max": F.greatest("diff_max", "_max2", zero),
-        "diff_avg": ratio(F.col("_sum"), n),
-        "diff_var": ratio(F.col("_squares") - ratio(F.col("_sum") * F.col("_sum"), n), n),
+        "diff_min": F.least("diff_min", "_away_min", zero),
+        "diff_max": F.greatest("diff_max", "_away_max", zero),
+        "diff_avg": mean,
+        "diff_var": ratio(squares, n),
     }
     sums = sums.withColumns({k: F.when(F.col("_count"), c).otherwise(F.col(k)) for k, c in dense.items()})
     # A customer who never used a coupon has no share row.

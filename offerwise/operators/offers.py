@@ -16,11 +16,14 @@ REACH = (1, 2, 3, -1, -2, -3)
 
 
 def union_train_test(train: DataFrame, test: DataFrame) -> DataFrame:
-    """Labelled and unlabelled offers in one table; the missing label becomes the sentinel."""
-    both = train.withColumn("train_set", F.lit(1)).unionByName(
-        test.withColumn("train_set", F.lit(0)), allowMissingColumns=True
-    )
-    return both.fillna(UNKNOWN_LABEL, ["redemption_status"])
+    """Labelled and unlabelled offers in one table; the test offers' label is the sentinel.
+
+    A training offer without a label keeps its null: it takes part in the features of its neighbours,
+    and the fit leaves it out.
+    """
+    kind = train.schema["redemption_status"].dataType
+    unknown = test.withColumns({"train_set": F.lit(0), "redemption_status": F.lit(UNKNOWN_LABEL).cast(kind)})
+    return train.withColumn("train_set", F.lit(1)).unionByName(unknown, allowMissingColumns=True)
 
 
 def split(df: DataFrame, flag: str = "train_set") -> tuple[DataFrame, DataFrame]:

@@ -110,6 +110,22 @@ def shifts(
     return cold_rows.select(columns).unionByName(hot_part.select(columns))
 
 
+def group_positions(
+    df: DataFrame, key: str, order: Sequence[Column], out: str = "position", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """One-based position of every row in its group. Groups above ``hot_rows`` are numbered by a
+    distributed sort, from which the first position of the group is taken off."""
+    plain = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    hot = stage(hot_groups(df, key, hot_rows), "hot-groups")
+    if hot.isEmpty():
+        return df.withColumn(out, plain)
+    cold = lookup(df, hot, [key], "left_anti").withColumn(out, plain)
+    placed = global_position(lookup(df, hot, [key], "left_semi"), [F.asc(key), *order], "_at").drop("_at_total")
+    starts = placed.groupBy(key).agg(F.min("_at").alias("_first"))
+    large = lookup(placed, starts, [key], "inner").withColumn(out, (F.col("_at") - F.col("_first") + 1).cast("int"))
+    return cold.unionByName(large.select(cold.columns))
+
+
 def global_position(df: DataFrame, order: Sequence[Column], out: str = "position") -> DataFrame:
     """Zero-based position in a total order, and the row total, without a single-task window.
 

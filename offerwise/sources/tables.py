@@ -10,8 +10,12 @@ from offerwise.sources.schemas import TABLES
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Scan one CSV file or folder with a header under its fixed schema; malformed rows fail the job."""
-    return spark.read.schema(TABLES[name]).option("header", True).option("mode", "FAILFAST").csv(path)
+    """Scan one CSV file or folder with a header under its fixed schema.
+
+    Headers that differ from the schema and malformed rows fail the job.
+    """
+    reader = spark.read.schema(TABLES[name]).option("header", True).option("enforceSchema", False)
+    return reader.option("mode", "FAILFAST").csv(path)
 
 
 def read_campaigns(spark: SparkSession, path: str) -> DataFrame:

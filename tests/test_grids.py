@@ -121,3 +121,23 @@ def test_ratio_of_grids_counts_absent_numerators_as_zero(spark):
     den = spark.createDataFrame([(1, 1, 4.0), (1, 2, 2.0), (2, 1, 0.0)], "customer_id int, camp_ord int, v double")
     num = spark.createDataFrame([(1, 1, 1.0)], "customer_id int, camp_ord int, v double")
     assert rows(grids.grid_ratio(num, den, ["customer_id", "camp_ord"], "x")) == [(1, 1, 0.25), (1, 2, 0.0), (2, 1, None)]
+
+
+@pytest.mark.parametrize("form", ["cumulative", "clean"])
+def test_equal_steps_of_large_counts_have_no_deviation(spark, form):
+    """Cells that grow by one large step: squares of the counts would not fit a double."""
+    data = [(c, "m", slot, float((10**8 + c) * (slot + 1))) for c in range(40) for slot in range(7)]
+    cells = spark.createDataFrame(data, "customer_id int, measure string, slot bigint, v double")
+    stats = grids.trajectory_stats(cells, {"m": grids.COUNT}, form).collect()
+    assert len(stats) == 40 and all(r.diff_std == 0 and r.diff_mean == 10**8 + r.customer_id for r in stats)
+
+
+def test_large_counts_with_gaps_equal_a_direct_computation(spark):
+    rng = random.Random(8)
+    data = [(c, "m", slot, float(rng.randint(10**9, 2 * 10**9))) for c in range(30) for slot in range(12) if rng.random() < 0.6]
+    data += [(99, "m", slot, 1.0) for slot in range(12)]
+    cells = spark.createDataFrame(data, "customer_id int, measure string, slot bigint, v double")
+    got = {r.customer_id: r.diff_std for r in grids.trajectory_stats(cells, {"m": grids.COUNT}, "clean").collect()}
+    for c in range(30):
+        row = [next((v for i, _, s, v in data if i == c and s == slot), 0.0) for slot in range(12)]
+        assert any(row) is False or got[c] == pytest.approx(float(np.std(np.diff(row), ddof=1)), rel=1e-9)

@@ -83,3 +83,20 @@ def test_campaign_lookup_is_broadcast(offered):
     both, camp = offered
     assert "BroadcastHashJoin [campaign_id" in plan(offers.add_campaign(both, camp))
     assert offers.add_campaign(both, camp).where(F.col("s_d") == 10).count() == 1
+
+
+def test_only_test_offers_get_the_unknown_label(spark):
+    train = spark.createDataFrame([(1, 1), (2, None)], "id bigint, redemption_status int")
+    test = spark.createDataFrame([(3,)], "id bigint")
+    got = {(r.id, r.train_set, r.redemption_status) for r in offers.union_train_test(train, test).collect()}
+    assert got == {(1, 1, 1), (2, 1, None), (3, 0, -9)}
+
+
+def test_coupon_mapping_grows_with_the_items(spark):
+    from offerwise.sources.retail import RetailTables
+
+    sizes = {}
+    for sf in ("0.001", "0.01", "0.1"):
+        data = RetailTables(spark, f"/root/testdata/sf{sf}")
+        sizes[sf] = data.coupon_item.count() / data.item.count()
+    assert max(sizes.values()) < 2 and max(sizes.values()) < 1.5 * min(sizes.values())

@@ -87,3 +87,17 @@ def test_group_folds_keep_groups_together(spark, skewed):
     folded = ordering.group_folds(skewed, "customer", 4)
     assert folded.groupBy("customer").agg(F.count_distinct("fold").alias("n")).where("n > 1").isEmpty()
     assert {r.fold for r in folded.select("fold").distinct().collect()} <= set(range(4))
+
+
+def test_group_positions_split_and_whole(spark):
+    rng = random.Random(4)
+    data = [(min(i % 9, 3), rng.randint(0, 50), i) for i in range(400)]
+    df = spark.createDataFrame(data, "k int, v int, id int").repartition(5, "id")
+    order = [F.desc("v"), F.asc("id")]
+    want = {}
+    for k in range(4):
+        members = sorted((r for r in data if r[0] == k), key=lambda r: (-r[1], r[2]))
+        want.update({r[2]: n + 1 for n, r in enumerate(members)})
+    for hot_rows in (10**6, 60):
+        got = ordering.group_positions(df, "k", order, "n", hot_rows)
+        assert {r.id: r.n for r in got.collect()} == want

@@ -78,3 +78,9 @@ def test_profiles(spark):
     assert rows(profile.schema_table(df)) == [(0, "x", "string"), (1, "y", "int")]
     assert tuple(profile.shape(df).first()) == (3, 2)
     assert [r.y for r in profile.top_k(df, "y", 1).collect()] == [1]
+
+
+def test_swapped_headers_fail(spark, tmp_path):
+    path = write(tmp_path, "h.csv", "item_id,coupon_id\n777,1\n")
+    with pytest.raises(Exception, match="(?i)header|column"):
+        tables.read_table(spark, path, "coupon_item_mapping").collect()
