@@ -31,6 +31,7 @@ HEADLINE = (
     "fold_auc__M5",
     "customer_table__E1",
     "training_table__E2",
+    "out_of_fold__M6",
 )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -324,17 +325,6 @@ def _(r):
     return coupons.add_items(r.coupon_item, r.item).select("coupon_id", "item_id", *[c.alias(n) for n, c in new.items()])
 
 
-FEATURE_KEEP = [
-    "id", "campaign_id", "coupon_id", "customer_id", "campaign_type", "diff_camp_days", *q.START_GAPS, *q.END_GAPS,
-]
-
-
-@register("feature_columns__P18", sql(ints(*FEATURE_KEEP) + dbls(*q.BREADTH_DBLS), "gaps", *q.OFFER_CTES))
-def _(r):
-    table = offers.offer_table(r.offers, r.campaign)
-    return table.select("id", *tt.feature_columns(table))
-
-
 def _order_cells(r):
     """Lines per customer and campaign as long cells."""
     return r.windowed.groupBy("customer_id", "camp_ord").agg(F.sum("quantity").alias("v"))
@@ -503,6 +493,16 @@ def _(r):
     return table.drop(*q.RATIOS, *q.USED_INTS)
 
 
+@register("customer_summary_pooled__A1", sql(ints("customer_id", *q.SUMMARY_INTS) + dbls(*q.SUMMARY_DBLS), "summary", q.SUMMARY))
+def _(r):
+    """The form the customer table uses: from the cubes."""
+    day = stage(cubes.day_cube(r.lines, r.campaign_codes), "day-cube")
+    item = stage(cubes.item_cube(r.windowed), "item-cube")
+    pooled = customers.pooled_summary(stage(cubes.spend_cube(r.windowed), "spend-cube"), day)
+    table = pooled.join(customers.variety_summary(customers.value_table(item)), "customer_id", "left")
+    return table.select("customer_id", *q.SUMMARY_INTS, *q.SUMMARY_DBLS)
+
+
 @register("sample_std__A2", sql(ints("customer_id", "camp_ord") + dbls("sp_qty_std"), "(select customer_id, camp_ord, stddev_samp(sp_qty) as sp_qty_std from w group by all)"))
 def _(r):
     return cubes.price_cube(r.windowed, {"sp_qty_std": ("sp_qty", "std")})
@@ -855,14 +855,22 @@ def _training(r):
     )
 
 
-def _training_sql():
+def _training_parts():
+    """CTEs, integer, double and text columns, and the source of the training table."""
     ctes, integers, doubles, text, source = q.customer_parts()
     code = "case MCCoupcategory_c " + " ".join(f"when '{x}' then {i}" for i, x in enumerate(CATEGORIES)) + " end"
     both = f"""(select * exclude (MCCoupcategory_c), {code} as MCCoupcategory_c from gaps left join ({q.COUPON_TABLE.join(["select * from ", ""])}) using (coupon_id)
         left join (select * from {source}) using (customer_id))"""
-    columns = ints(*q.OFFER_INTS, *q.COUPON_INTS, "MCCoupcategory_c", *[i for i in integers if i != "customer_id"])
-    columns += dbls(*q.BREADTH_DBLS, *q.COUPON_SUM_DBLS, *doubles) + strs("MCCoupbrand", *text, "start_date", "end_date")
-    return sql(columns, both, *ctes, *q.OFFER_CTES, *q.COUPON_CTES)
+    integers = [*q.OFFER_INTS, *q.COUPON_INTS, "MCCoupcategory_c", *[i for i in integers if i != "customer_id"]]
+    doubles = [*q.BREADTH_DBLS, *q.COUPON_SUM_DBLS, *doubles]
+    return [*ctes, *q.OFFER_CTES, *q.COUPON_CTES], integers, doubles, ["MCCoupbrand", *text], both
+
+
+def _training_sql(keep=lambda c: True):
+    ctes, integers, doubles, text, both = _training_parts()
+    text = [*text, "start_date", "end_date"]
+    columns = [ints(*filter(keep, integers)), dbls(*filter(keep, doubles)), strs(*filter(keep, text))]
+    return sql([c for part in columns for c in part], both, *ctes)
 
 
 @register("training_table__E2", _training_sql())
@@ -870,6 +878,12 @@ def _(r):
     return _training(r).withColumns({c: C(c).cast("double") for c in ("TDiff_min", "TDiff_max")})
 
 
+@register("feature_columns__P18", _training_sql(lambda c: c == "id" or c not in tt.EXCLUDED))
+def _(r):
+    table = _training(r).withColumns({c: C(c).cast("double") for c in ("TDiff_min", "TDiff_max")})
+    return table.select("id", *tt.feature_columns(table))
+
+
 # Model --------------------------------------------------------------------------------------
 # The learner itself has no SQL counterpart. Its surroundings are checked on fixed scores: the share
 # of lines a customer bought with coupons, shifted by fold.
@@ -927,12 +941,6 @@ def _(r):
     return model.average_folds(joins.lookup(test, rates, ["kind"], "inner"))
 
 
-@register("out_of_fold__M6", sql(ints("n", "n_ids"), "(select count(*) as n, count(distinct id) as n_ids from impression where train_set = 1)"))
-def _(r):
-    held, _, _ = _fitted(r)
-    return held.agg(F.count("p").alias("n"), F.count_distinct("id").alias("n_ids"))
-
-
 @register(
     "group_folds__M10",
     sql(ints("customer_id", "n", "n_folds"), "(select customer_id, count(*) as n, 1 as n_folds from impression where train_set = 1 group by 1)"),
@@ -942,49 +950,87 @@ def _(r):
     return folded.groupBy("customer_id").agg(F.count("*").alias("n"), F.count_distinct("fold").alias("n_folds"))
 
 
-# Learner runs: few trees and folds keep a check short, every offer takes part.
-QUICK = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.1, "maxBins": 32, "minInstancesPerNode": 50}
-QUICK_FOLDS = 2
+# Learner runs use the package's own settings on the whole training table; one run serves all queries
+# of a session on a folder. Scores depend on the learner, so their SQL states what must hold of them.
+_RUNS: dict[tuple[str, str], model.Fitted] = {}
 
 
-def _offer_features(r):
-    table = offers.offer_table(r.offers, r.campaign)
-    spend = customers.spending_summary(r.windowed)
-    return joins.attach(table, spend, ["customer_id"])
+def _fitted(r):
+    key = (r.spark.sparkContext.applicationId, r.folder)
+    if key not in _RUNS:
+        table = stage(_training(r), "training-table")
+        brands = r.item.select("brand")
+        table = model.index_text(table, tt.text_features(table), brands)
+        _RUNS[key] = model.redemption_scores(table, tt.feature_columns(table))
+    return _RUNS[key]
 
 
-def _fitted(r):
-    table = _offer_features(r)
-    return model.redemption_scores(table, tt.numeric_features(table), QUICK_FOLDS, QUICK)
+_CTES, _INTS, _DBLS, _TEXT, _SOURCE = _training_parts()
+_WHOLE = [c for c in _INTS if c not in tt.EXCLUDED]
+_FEATURES = [*_WHOLE, *[c for c in (*_DBLS, *_TEXT) if c not in tt.EXCLUDED]]
+_MISSING = " + ".join(f'case when "{c}" is null then 1 else 0 end' for c in _FEATURES)
+_SUM = " + ".join(f'coalesce(cast("{c}" as bigint), 0)' for c in _WHOLE)
 
 
-@register("feature_matrix__M1")
+@register(
+    "feature_matrix__M1",
+    sql(ints("id", "label", "fold", "n_features", "n_missing", "n_flagged", "whole"),
+        f"""(select t.id, t.redemption_status as label, f.fold, {len(_FEATURES)} as n_features, {_MISSING} as n_missing,
+            {_MISSING} as n_flagged, {_SUM} as whole from {_SOURCE} t join (select id as _id, fold from folded) f on f._id = t.id)""",
+        *_CTES, FOLD_CTE),
+)
 def _(r):
-    table = _offer_features(r)
-    matrix = model.feature_matrix(table, tt.numeric_features(table))
-    from pyspark.ml.functions import vector_to_array
-
+    """Cells of the vectors: how many are missing by sentinel and by flag, and the exact sum of the whole numbers."""
+    fitted = _fitted(r)
+    n = len(fitted.features)
+    places = F.array(*[F.lit(i) for i, c in enumerate(fitted.features) if c in set(_WHOLE)])
     cells = vector_to_array("features")
-    return matrix.select("id", "label", F.size(cells).alias("n_features"), F.array_min(cells).alias("smallest"))
+    value = lambda i: F.get(C("cells"), i)
+    known = F.aggregate(
+        places, F.lit(0.0), lambda a, i: a + F.when(value(i) == model.MISSING, 0.0).otherwise(value(i))
+    )
+    return fitted.matrix.withColumn("cells", cells).select(
+        "id",
+        "label",
+        "fold",
+        F.lit(n).alias("n_features"),
+        F.size(F.filter(F.slice("cells", 1, n), lambda x: x == model.MISSING)).alias("n_missing"),
+        F.size(F.filter(F.slice("cells", n + 1, max(1, len(fitted.flags))), lambda x: x == 1)).alias("n_flagged"),
+        known.alias("whole"),
+    ).withColumns({c: C(c).cast("bigint") for c in ("label", "whole")})
 
 
-@register("train_fold__M3")
+def _sound(p):
+    return p.between(0.0, 1.0).cast("bigint").alias("sound")
+
+
+@register("train_fold__M3", sql(ints("id", "fold", "sound"), "(select id, fold, 1 as sound from folded)", q.OFFER, FOLD_CTE))
+def _(r):
+    """The first fold's model over all labelled offers."""
+    fitted = _fitted(r)
+    return model.score(fitted.models[0], fitted.matrix).select("id", "fold", _sound(C("p")))
+
+
+@register("score__M4", sql(ints("id", "sound"), "(select id, 1 as sound from impression where train_set = 0)"))
 def _(r):
-    table = _offer_features(r)
-    features = tt.numeric_features(table)
-    train = ordering.contiguous_folds(table.where(C("train_set") == 1), QUICK_FOLDS, model.fold_order())
-    matrix = stage(model.feature_matrix(train, features, ["fold"]), "train-matrix")
-    return model.score(model.train_fold(matrix, 0, QUICK), matrix)
+    return _fitted(r).scores.select("id", _sound(C("redemption_status")))
 
 
-@register("score__M4")
+@register("out_of_fold__M6", sql(ints("id", "fold", "sound"), "(select id, fold, 1 as sound from folded)", q.OFFER, FOLD_CTE))
 def _(r):
-    return _fitted(r)[1]
+    return _fitted(r).held.select("id", "fold", _sound(C("p")))
 
 
-@register("importance__M9")
+@register(
+    "importance__M9",
+    sql(ints("fold", "n_features", "n_sound") + dbls("gain"),
+        f"(select range as fold, {len(_FEATURES)} as n_features, {len(_FEATURES)} as n_sound, 100.0 as gain from range({model.FOLDS}))"),
+)
 def _(r):
-    table = _offer_features(r)
-    features = tt.numeric_features(table)
-    _, _, models = model.redemption_scores(table, features, QUICK_FOLDS, QUICK)
-    return model.importance(models[0], features, r.spark)
+    """Importance of every fold's model: all features, splits and gains not negative, gains of 100 percent."""
+    fitted = _fitted(r)
+    per_fold = model.fold_importance(fitted.models, fitted.features, r.spark, fitted.flags)
+    sound = F.count_if((C("split") >= 0) & (C("gain") >= 0))
+    return per_fold.groupBy("fold").agg(
+        F.count_distinct("feature").alias("n_features"), sound.alias("n_sound"), F.sum("gain").alias("gain")
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from offerwise.functions.codes import CAMPAIGN_TYPES
 from offerwise.functions.scalars import date_parts, encode, span_days, year_day, year_month
-from offerwise.operators.joins import BROADCAST_ROWS, lookup
+from offerwise.operators.joins import lookup
 
 
 def campaign_order(campaign: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def campaign_window_join(
     lines: DataFrame,
     campaign: DataFrame,
     columns: Sequence[str] = ("campaign_id", "camp_ord", "campaign_type"),
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Repeat each line for every campaign whose window holds its date; other lines drop out.
 

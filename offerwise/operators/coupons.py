@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from offerwise.functions.codes import BRAND_TYPES, CATEGORIES
 from offerwise.functions.scalars import one_hot, ratio
-from offerwise.operators.joins import BROADCAST_ROWS, lookup
+from offerwise.operators.joins import lookup
 from offerwise.sources.staging import stage
 
 COUPON = "coupon_id"
 
 
-def add_items(mapping: DataFrame, item: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def add_items(mapping: DataFrame, item: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Mapping rows with the attributes of their item."""
     return lookup(mapping, item, ["item_id"], "left", max_rows)
 

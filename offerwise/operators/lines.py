@@ -16,10 +16,10 @@ from offerwise.functions.scalars import (
     year_day,
     year_month,
 )
-from offerwise.operators.joins import BROADCAST_ROWS, lookup
+from offerwise.operators.joins import lookup
 
 
-def add_items(lines: DataFrame, item: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def add_items(lines: DataFrame, item: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Left join the item dimension; a line of an unknown item keeps null attributes."""
     return lookup(lines, item, ["item_id"], "left", max_rows)
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from offerwise.operators.campaigns import campaign_order, campaign_window_join, prepare_campaigns
 from offerwise.operators.joins import lookup
 from offerwise.operators.lines import add_items, describe_lines
-from offerwise.sources.tables import spread
 
 # The part types of the star schema; the position is the code.
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -77,7 +76,8 @@ class RetailTables:
     def transactions(self) -> DataFrame:
         c = F.col
         with_coupon = (c("l_returnflag") == "R") & (c("l_linestatus") == "F")
-        lines = spread(self.table("lineitem"), "l_orderkey", "l_linenumber")
+        # The exchange the join with the orders needs anyway; files with few splits fan out here.
+        lines = self.table("lineitem").repartition("l_orderkey")
         orders = self.table("orders")
         return lines.join(orders, c("l_orderkey") == c("o_orderkey")).select(
             c("o_orderdate").cast("date").alias("date"),

@@ -28,8 +28,30 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+_runs: dict[str, str] = {}
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The sub-folder of this application's current run; it lives until :func:`release`."""
+    app = spark.sparkContext.applicationId
+    if app not in _runs:
+        _runs[app] = f"{shared_folder(spark)}/offerwise-{app}-{uuid.uuid4().hex[:8]}"
+    return _runs[app]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything the current run has staged, through the folder's own file system.
+
+    Call it when the run's results have been written; lazy results that read staged tables are lost.
+    """
+    folder = _runs.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -25,15 +25,6 @@ def read_campaigns(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core, hashed on ``keys``.
-
-    For tables that arrive in a few unsplittable files. A scan with enough splits stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_scores(df: DataFrame, path: str) -> None:
     """Scored offers: id and redemption probability, one CSV part per task, header in each."""
     df.select("id", "redemption_status").write.mode("overwrite").option("header", True).csv(path)

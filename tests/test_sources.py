@@ -63,11 +63,37 @@ def test_the_cluster_setting_wins():
         staging.shared_folder(Session(**{"spark.master": "yarn"}))
 
 
-def test_spread_only_touches_narrow_scans(spark):
-    one = spark.range(100, numPartitions=1)
-    wide = spark.range(100, numPartitions=64)
-    assert tables.spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert tables.spread(wide, "id") is wide
+def test_a_line_moves_once_on_its_way_to_its_order(spark):
+    from helpers import plan
+
+    from offerwise.sources.retail import RetailTables
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(RetailTables(spark, "/root/testdata/sf0.001").transactions)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1 and text.count("Exchange ") == 2
+
+
+def test_a_run_releases_what_it_staged(spark):
+    df = staging.stage(spark.range(5).toDF("x"), "demo")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert path.removeprefix("file://").startswith(staging.run_folder(spark).removeprefix("file://"))
+    assert spark.read.parquet(path).count() == 5
+    staging.release(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
+    assert staging.stage(spark.range(3).toDF("x"), "demo").count() == 3
+
+
+def test_broadcast_bound_follows_the_width(spark):
+    from offerwise.operators import joins
+
+    narrow = spark.range(1)
+    wide = narrow.selectExpr("id", *[f"'x' as t{i}" for i in range(60)])
+    assert joins.broadcast_rows(wide) * joins.row_bytes(wide) <= joins.BROADCAST_BYTES
+    assert joins.broadcast_rows(narrow) > 50 * joins.broadcast_rows(wide)
 
 
 def test_profiles(spark):
