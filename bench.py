@@ -31,7 +31,6 @@ HEADLINE = (
     "fold_auc__M5",
     "customer_table__E1",
     "training_table__E2",
-    "out_of_fold__M6",
 )
 
 
