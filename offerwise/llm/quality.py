@@ -26,7 +26,7 @@ SAMPLE_ROWS = 2000
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
 MIN_WORD_CHARS, MAX_WORD_CHARS = 1.5, 20.0
-MAX_SYMBOLS_PER_WORD = 0.5
+MAX_SYMBOLS_PER_WORD = 0.1
 MAX_DUP_LINES = 0.5
 MAX_UPPER = 0.6
 MAX_DIGITS = 0.5
