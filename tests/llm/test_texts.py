@@ -160,6 +160,26 @@ def test_forward_sums_all_segmentations():
     assert sum(len(k) * v for k, v in counts.items()) == pytest.approx(8.0)
 
 
+def test_joint_scores_equal_the_forward_algorithm():
+    rng = np.random.default_rng(6)
+    pieces = sorted({"▁", "a", "b", "ab", "ba", "▁a", "aba", "▁ab", "bbb"})
+    table = rng.uniform(0.001, 0.2, (len(pieces), 3))
+    model = langid.Model(["x", "y", "z"], pieces, table)
+    words = ["a", "abab", "q", "aqb", "b" * 30, "abba" * 7, "▁a"]
+    rows = {p: tuple(table[i]) for i, p in enumerate(pieces)}
+    want = np.log([langid.forward("▁" + w, rows, 3)[-1] for w in words])
+    assert np.allclose(model.log_probabilities(words), want)
+
+
+def test_model_starts_anew_when_its_memory_is_full(monkeypatch):
+    table = np.array([[0.5, 0.1], [0.1, 0.5], [0.1, 0.1]])
+    texts = ["a a b", "b b", None, "12", "a b aa bb ab ba"]
+    want = langid.Model(["x", "y"], ["a", "b", "▁"], table).predict(texts)
+    monkeypatch.setattr(langid, "MEMORY", 3)
+    model = langid.Model(["x", "y"], ["a", "b", "▁"], table)
+    assert [model.predict([t])[0] for t in texts] == want == model.predict(texts)
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.identify(df, PIECES).join(df.select("doc_id", "lang"), "doc_id").where("held_out").collect()
