@@ -1,13 +1,19 @@
 """Byte-level BPE by folding ranked merges in Spark's higher-order functions.
 
-Texts are cut into chunks of documents. Within a chunk, Python only looks up: it cuts each text into
-blank-led segments and numbers the distinct ones. The JVM does the rest for each distinct segment:
-the splitting pattern gives its words, a fold merges the pair of lowest rank (the leftmost of equals)
-until none is in the literal rank map, and decoding concatenates the binary pieces of the ids. Python
-then lays out every document's ids and decoded bytes from the numbers and hashes them.
+Within a task, Python only looks up: it cuts each text into blank-led segments, numbers the distinct
+segments and their words, and lists for each new word the tokens that stand in it. The JVM does the
+rest for each distinct word: a fold over those tokens by rank replaces the pair of pieces that a token
+merges, read from a literal map by rank, and decoding concatenates the binary pieces of the ids.
+Python then lays out every document's ids and decoded bytes from the numbers and hashes them.
 
-No shuffle is needed, a task holds one chunk at a time, and a lost task is repeated alone. Segments
-above ``LONG_SEGMENT`` bytes would make the fold quadratic; a heap merges those, with equal results.
+A piece is one character in the fold, its id plus ``BASE``, so a merge is one string replacement.
+Every token of a trained vocabulary is reached by merges of lower rank, which makes merging in the
+order of ranks equal to merging the lowest pair at each step; ``merge_pairs`` fails for a vocabulary
+where that does not hold.
+
+No shuffle is needed, a task holds the words it has met (starting anew above ``MEMORY``) and a batch
+of documents, and a lost task is repeated alone. Words above ``LONG_WORD`` bytes would make their list
+of tokens long; a heap merges those, with equal results.
 
 Defined results: a null text is an empty text and has no ids; texts are encoded whole; repeated rows
 give one row each; an empty table gives no rows; only the two named columns are read.
@@ -18,23 +24,24 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
+import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-CHUNK_CHARS = 12_000_000
-LONG_SEGMENT = 256
-BUCKETS = 1 << 16  # of the rank map: a lookup reads one bucket
+LONG_WORD = 256
+MEMORY = 400_000
+# Ids become characters from here on; the largest stays below the surrogates.
+BASE = 0x100
 
 # Unicode white space, as the splitting pattern's \s means it.
 BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SEGMENT = regex.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+SEGMENT = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,76 +49,53 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def _rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as a literal: buckets by hash, each a map from the hex digits of a token to its rank."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for token, rank in ranks.items():
-        key = token.hex().upper()
-        buckets[xxh64_intdigest(key.encode(), 42) & (BUCKETS - 1)][key] = rank
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
-
-
-def _pieces(ranks: dict[bytes, int]) -> Column:
-    """The tokens' hex digits as a literal array in the order of their ids."""
-    by_id = [""] * (max(ranks.values()) + 1)
+def merge_pairs(ranks: dict[bytes, int]) -> list[tuple[int, int] | None]:
+    """For each rank the ids of the two pieces that its token merges; none for single bytes."""
+    if max(ranks.values()) + BASE >= 0xD800:
+        raise ValueError("too many tokens for one character each")
+    out: list[tuple[int, int] | None] = [None] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
-        by_id[rank] = token.hex().upper()
-    return F.from_json(F.lit(json.dumps(by_id, separators=(",", ":"))), "array<string>")
-
+        if len(token) > 1:
+            pieces = merge_long(token, ranks, rank)
+            if len(pieces) != 2:
+                raise ValueError(f"token {rank} is not reached by merges of lower rank")
+            out[rank] = (pieces[0], pieces[1])
+    return out
 
-def _bound(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
 
+def _literal(values: list[str]) -> Column:
+    """An array literal; the text has no commas of its own."""
+    return F.split(F.lit(",".join(values)), ",")
 
-def fold_word(word: Column, rank_map: Column) -> Column:
-    """Ids of one word: an array of ints. The state holds the pieces and the rank of each with its successor."""
 
-    def rank(key: Column) -> Column:
-        slot = F.xxhash64(key).bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int")
-        return F.try_element_at(F.get(rank_map, slot), key)
+def fold_word(word: Column, pairs: Column) -> Column:
+    """Pieces of a word (``s``, a character each) after the merges of ``tokens``, ranks in rising order."""
 
-    def merge(state: Column, _: Column) -> Column:
-        s, r = state["s"], state["r"]
 
-        def at(k: Column) -> Column:
-            joined = F.concat(F.element_at(s, k), F.element_at(s, k + 1))
-            left = F.when(k > 1, F.array(rank(F.concat(F.get(s, k - 2), joined)))).otherwise(F.array().cast("array<int>"))
-            return F.struct(
-                F.concat(F.slice(s, F.lit(1), k - 1), F.array(joined), F.slice(s, k + 2, F.size(s))).alias("s"),
-                F.concat(
-                    F.slice(r, F.lit(1), F.greatest(k - 2, F.lit(0))),
-                    left,
-                    F.array(rank(F.concat(joined, F.get(s, k + 1)))),
-                    F.slice(r, k + 2, F.size(r)),
-                ).alias("r"),
-            )
+    def merge(s: Column, rank: Column) -> Column:
+        entry = F.get(pairs, rank)  # the two pieces, then the token
+        return F.replace(s, F.substring(entry, 1, 2), F.substring(entry, 3, 1))
 
-        best = F.array_min(r)
-        return F.when(best.isNull(), state).otherwise(_bound(F.array_position(r, best).cast("int"), at))
+    return F.aggregate(word["tokens"], word["s"], merge)
 
-    letters = F.regexp_extract_all(F.hex(F.encode(word, "UTF-8")), F.lit("(..)"), 1)
-    start = _bound(
-        letters,
-        lambda s: F.struct(s.alias("s"), F.transform(s, lambda p, i: rank(F.concat(p, F.get(s, i + 1)))).alias("r")),
-    )
-    steps = F.sequence(F.lit(1), F.octet_length(word))
-    return F.aggregate(steps, start, merge, lambda state: F.transform(state["s"], rank))
 
+def decode_word(s: Column, pieces: Column) -> Column:
+    """The binary pieces of a folded word, concatenated."""
+    digits = F.transform(F.split(s, ""), lambda c: F.get(pieces, F.ascii(c) - BASE))
+    return F.unhex(F.array_join(digits, ""))
 
-def decode_ids(ids: Column, pieces: Column) -> Column:
-    """The binary pieces of the ids, concatenated."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
 
+def merge_long(word: bytes, ranks: dict[bytes, int], below: int = 1 << 31) -> list[int]:
+    """Ids of a word of any length, from merges of a rank below ``below``.
 
-def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a word of any length: pairs wait in a heap, pieces in a linked list."""
+    Pairs wait in a heap, pieces in a linked list.
+    """
     ends = list(range(1, len(word) + 1))
     before = list(range(-1, len(word) - 1))
     size = len(word)
 
     def pair(i: int) -> None:
-        if ends[i] < size and (rank := ranks.get(word[i : ends[ends[i]]])) is not None:
+        if ends[i] < size and (rank := ranks.get(word[i : ends[ends[i]]], below)) < below:
             heapq.heappush(heap, (rank, i, ends[ends[i]]))
 
     heap: list[tuple[int, int, int]] = []
@@ -134,61 +118,117 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Tokens:
+    """Looks up which tokens stand in a word: hashes of all tokens and of all that begins one, sorted."""
+
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        numbers = {t[:i]: -1 for t in ranks for i in range(1, len(t))}
+        numbers.update(ranks)
+        keys = np.array([self._hash(t) for t in numbers], np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.numbers = keys[order], np.array(list(numbers.values()), np.int64)[order]
+        self.longest = max(map(len, ranks))
+        if (self.keys[1:] == self.keys[:-1]).any():
+            raise ValueError("two tokens share a hash")
+
+    def _hash(self, token: bytes) -> int:
+        out = 0
+        for c in token:
+            out = (out * int(self.FACTOR) + c + 1) % 2**64
+        return out
+
+    def inside(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(word number, rank) of all tokens of two bytes and more, by word, then rank, each once."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64)
+        row = np.repeat(np.arange(len(words)), sizes)
+        at = np.arange(len(row))
+        end = np.repeat(np.cumsum(sizes), sizes)
+        hashes = np.zeros(len(row), np.uint64)
+        found = []
+        for length in range(1, self.longest + 1):
+            fits = at + length <= end
+            row, at, end, hashes = row[fits], at[fits], end[fits], hashes[fits]
+            if not len(row):
+                break
+            hashes = hashes * self.FACTOR + data[at + length - 1] + np.uint64(1)
+            place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+            known = self.keys[place] == hashes
+            number = np.where(known, self.numbers[place], -1)
+            if length > 1:
+                hit = number >= 0
+                found.append(row[hit] << 32 | number[hit])
+            row, at, end, hashes = row[known], at[known], end[known], hashes[known]
+        codes = np.sort(np.concatenate([*found, np.zeros(0, np.int64)]))
+        codes = codes[np.concatenate([[True], codes[1:] != codes[:-1]])[: len(codes)]]
+        return codes >> 32, codes & 0xFFFFFFFF
+
+
+class Numbers(dict):
+    """Numbers its keys from 0 as they come."""
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
+
+
 CHUNK = (
-    "ids array<{kind}>, counts array<int>, codes array<int>, segments array<string>, long_ids array<array<int>>"
+    "ids array<{kind}>, counts array<int>, codes array<int>, fresh boolean, "
+    "words array<struct<s:string,tokens:array<int>>>, segments array<array<int>>"
 )
 
 
-def _chunks(pattern: str, path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = regex.compile(pattern)
-        ranks: dict[bytes, int] = {}
+def _one(values: pa.Array) -> pa.ListArray:
+    """A column of one row that holds all the values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
 
-        def chunk(ids: list, texts: list[str], id_type: pa.DataType) -> pa.RecordBatch:
-            numbers: dict[str, int] = {}
+def _split(pattern: str, ranks: dict[bytes, int]):
+    """Per Arrow batch one row: the batch's documents as segment numbers, and the words and segments new to the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter, tokens = regex.compile(pattern), Tokens(ranks)
+        letters = [chr(ranks[bytes([i])] + BASE) for i in range(256)]
+        segment_numbers, word_numbers = Numbers(), Numbers()
+        for batch in batches:
+            fresh = len(word_numbers) > MEMORY or not word_numbers
+            if fresh:
+                segment_numbers, word_numbers = Numbers(), Numbers()
+            n_segments, n_words = len(segment_numbers), len(word_numbers)
             counts, codes = [], []
-            for text in texts:
-                found = SEGMENT.findall(text)
+            for text in batch.column(1).to_pylist():
+                found = SEGMENT.findall(text or "")
                 counts.append(len(found))
-                codes += [numbers.setdefault(s, len(numbers)) for s in found]
-            is_long = np.array([len(s) * 4 > LONG_SEGMENT and len(s.encode()) > LONG_SEGMENT for s in numbers], bool)
-            order = np.concatenate([np.flatnonzero(~is_long), np.flatnonzero(is_long)])
-            place = np.empty(len(order), np.int32)
-            place[order] = np.arange(len(order))
-            long_ids = []
-            if is_long.any() and not ranks:
-                ranks.update(read_ranks(path))
-            for s, skip in zip(numbers, is_long):
-                if skip:
-                    long_ids.append([i for w in words.findall(s) for i in merge_long(w.encode(), ranks)])
-            flat = place[np.array(codes, np.int64)] if codes else np.zeros(0, np.int32)
-            one = lambda values, kind: pa.ListArray.from_arrays(
-                pa.array([0, len(values)], pa.int32()), pa.array(values, kind)
+                codes += map(segment_numbers.__getitem__, found)
+            parts = []
+            for s in islice(segment_numbers, n_segments, None):
+                # A run of letters, after one space at most, is one word to the pattern.
+                found = [s] if s.removeprefix(" ").isalpha() else splitter.findall(s)
+                parts.append([word_numbers[w] for w in found])
+            words = [w.encode("utf-8", "replace") for w in islice(word_numbers, n_words, None)]
+            short = [w if len(w) <= LONG_WORD else b"" for w in words]
+            row, rank = tokens.inside(short)
+            start = [
+                "".join([letters[c] for c in w]) if t else "".join(chr(i + BASE) for i in merge_long(w, ranks))
+                for w, t in zip(words, short)
+            ]
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(row, np.arange(len(words) + 1)), pa.int32()), pa.array(rank, pa.int32())
             )
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [
-                    one(ids, id_type),
-                    one(counts, pa.int32()),
-                    one(flat, pa.int32()),
-                    one([s for s, skip in zip(numbers, is_long) if not skip], pa.string()),
-                    one(long_ids, pa.list_(pa.int32())),
+                    _one(batch.column(0)),
+                    _one(pa.array(counts, pa.int32())),
+                    _one(pa.array(codes, pa.int32())),
+                    pa.array([fresh]),
+                    _one(pa.StructArray.from_arrays([pa.array(start, pa.string()), lists], ["s", "tokens"])),
+                    _one(pa.array(parts, pa.list_(pa.int32()))),
                 ],
-                ["ids", "counts", "codes", "segments", "long_ids"],
+                ["ids", "counts", "codes", "fresh", "words", "segments"],
             )
 
-        ids, texts, size, id_type = [], [], 0, None
-        for batch in batches:
-            id_type = batch.column(0).type
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids.append(doc)
-                texts.append(text or "")
-                size += len(texts[-1])
-                if size >= CHUNK_CHARS:
-                    yield chunk(ids, texts, id_type)
-                    ids, texts, size = [], [], 0
-        if ids:
-            yield chunk(ids, texts, id_type)
-
     return run
 
 
@@ -200,67 +240,75 @@ def _ragged(values: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> tuple
     return values[at], ends
 
 
-def _lists(column: pa.Array, row: int) -> tuple[np.ndarray, np.ndarray]:
-    """Flat values and offsets of an array of arrays of ints, or of an array of binaries, in one row."""
-    inner = column[row].values
-    if pa.types.is_list(inner.type):
-        return inner.flatten().to_numpy(zero_copy_only=False), np.concatenate(
-            [[0], np.cumsum(inner.value_lengths().to_numpy(zero_copy_only=False))]
-        ).astype(np.int64)
-    data = inner.to_pylist()
-    return np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64)
+class Table:
+    """Lists of numbers under consecutive numbers, to which more are added."""
+
+    def __init__(self, kind: str) -> None:
+        self.values, self.offsets = np.zeros(0, kind), np.zeros(1, np.int64)
+
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        self.values = np.concatenate([self.values, values.astype(self.values.dtype)])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
 
 
 def _lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come in the order in which the task has split them; its words and segments add up."""
+    tokens, decoded, segments = Table("<u4"), Table("u1"), Table("i8")
     for batch in batches:
         for row in range(batch.num_rows):
-            ids = batch.column("ids")[row].values
-            counts = batch.column("counts")[row].values.to_numpy(zero_copy_only=False)
-            codes = batch.column("codes")[row].values.to_numpy(zero_copy_only=False)
-            tokens, token_ends = _ragged(*_lists(batch.column("tokens"), row), codes)
-            decoded, byte_ends = _ragged(*_lists(batch.column("decoded"), row), codes)
-            tokens = tokens.astype("<u4")
-            last = np.cumsum(counts)
-            edge = lambda ends: np.where(last > 0, ends[np.maximum(last, 1) - 1] if len(ends) else 0, 0)  # noqa: B023, E731
-            t, b = (np.concatenate([[0], edge(x)]) for x in (token_ends, byte_ends))
-            n = range(len(ids))
+            column = lambda name: batch.column(name)[row].values  # noqa: B023, E731
+            if batch.column("fresh")[row].as_py():
+                tokens, decoded, segments = Table("<u4"), Table("u1"), Table("i8")
+            folded = column("tokens").to_pylist()
+            ids = np.frombuffer("".join(folded).encode("utf-16-le"), "<u2").astype("<u4") - np.uint32(BASE)
+            tokens.add(ids, np.array([len(x) for x in folded], np.int64))
+            pieces = column("decoded").to_pylist()
+            decoded.add(np.frombuffer(b"".join(pieces), np.uint8), np.array([len(x) for x in pieces], np.int64))
+            parts = column("segments")
+            segments.add(
+                parts.flatten().to_numpy(zero_copy_only=False), parts.value_lengths().to_numpy(zero_copy_only=False)
+            )
+            codes, counts = (column(x).to_numpy(zero_copy_only=False) for x in ("codes", "counts"))
+            words, word_ends = _ragged(segments.values, segments.offsets, codes)
+            flat, token_ends = _ragged(tokens.values, tokens.offsets, words)
+            raw, byte_ends = _ragged(decoded.values, decoded.offsets, words)
+            last = np.concatenate([[0], np.cumsum(counts)])
+            last = np.concatenate([[0], word_ends])[last]  # words before each document's end
+            t, b = (np.concatenate([[0], ends])[last] for ends in (token_ends, byte_ends))
+            n = range(len(counts))
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids,
+                    column("ids"),
                     pa.array(np.diff(t), pa.int64()),
-                    pa.array([hashlib.sha256(tokens[t[i] : t[i + 1]].tobytes()).hexdigest() for i in n], pa.string()),
-                    pa.array([hashlib.sha256(decoded[b[i] : b[i + 1]].tobytes()).hexdigest() for i in n], pa.string()),
+                    pa.array([hashlib.sha256(flat[t[i] : t[i + 1]].tobytes()).hexdigest() for i in n], pa.string()),
+                    pa.array([hashlib.sha256(raw[b[i] : b[i + 1]].tobytes()).hexdigest() for i in n], pa.string()),
                 ],
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
 
-def encoded_chunks(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Chunks of documents with the ids (``tokens``) and decoded bytes of each distinct segment."""
+def folded_batches(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Batches of documents with the pieces (``tokens``) and the decoded bytes of each new word."""
     ranks = read_ranks(path)
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    chunks = slim.mapInArrow(_chunks(pattern, path), CHUNK.format(kind=kind))
-    split = F.lit(java_pattern(pattern))
-    rank_map, pieces = _rank_map(ranks), _pieces(ranks)
-    words = lambda s: F.regexp_extract_all(s, split, 0)
-    tokens = F.transform("segments", lambda s: F.flatten(F.transform(words(s), lambda w: fold_word(w, rank_map))))
-    return chunks.select("ids", "counts", "codes", F.concat(tokens, F.col("long_ids")).alias("tokens")).select(
-        "*", F.transform("tokens", lambda ids: decode_ids(ids, pieces)).alias("decoded")
+    split = slim.mapInArrow(_split(pattern, ranks), CHUNK.format(kind=kind))
+    shown = ["".join(chr(i + BASE) for i in (*pair, rank)) if pair else "" for rank, pair in enumerate(merge_pairs(ranks))]
+    by_id = [""] * len(shown)
+    for token, rank in ranks.items():
+        by_id[rank] = token.hex()
+    pairs, pieces = _literal(shown), _literal(by_id)
+    folded = split.select(
+        "ids", "counts", "codes", "fresh", "segments", F.transform("words", lambda w: fold_word(w, pairs)).alias("tokens")
     )
-
-
-def java_pattern(pattern: str) -> str:
-    """The splitting pattern with ``\\s`` and ``\\S`` written out, as the JVM's own are ASCII only."""
-    out = pattern.replace(r"[^\s", f"[^{BLANK}")
-    return out.replace(r"\s", f"[{BLANK}]").replace(r"\S", f"[^{BLANK}]")
+    return folded.select("*", F.transform("tokens", lambda s: decode_word(s, pieces)).alias("decoded"))
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per row of ``docs``: token count and the digests of its ids and of their decoded bytes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (
-        encoded_chunks(docs, path, pattern)
+        folded_batches(docs, path, pattern)
         .mapInArrow(_lay_out, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
         .withColumnRenamed("id", "doc_id")
     )

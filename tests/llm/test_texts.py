@@ -75,6 +75,37 @@ def test_encoding_equals_the_library_and_decodes(everything):
     assert Counter(tuple(r) for r in bpe.encode(everything, RANKS, public_tokenizers.PATTERN).collect()) == want
 
 
+def test_splitting_starts_anew_when_its_memory_is_full(monkeypatch):
+    import pyarrow as pa
+
+    ranks = bpe.read_ranks(RANKS)
+    monkeypatch.setattr(bpe, "MEMORY", 50)
+    rows = [(i, f"word{i} and {'x' * i} again") for i in range(60)]
+    batches = [pa.RecordBatch.from_pydict({"id": [i], "text": [t]}) for i, t in rows]
+    out = list(bpe._split(public_tokenizers.PATTERN, ranks)(iter(batches)))
+    assert sum(b.column("fresh")[0].as_py() for b in out) > 1
+    first = next(i for i, b in enumerate(out[1:], 1) if b.column("fresh")[0].as_py())
+    assert out[first].column("codes")[0].as_py() == [0, 1, 2, 3]
+
+
+def test_tokens_inside_a_word():
+    ranks = bpe.read_ranks(RANKS)
+    words = [b" the", b"x", b"", b"tionment", "é日".encode()]
+    row, rank = bpe.Tokens(ranks).inside(words)
+    got = set(zip(row.tolist(), rank.tolist()))
+    want = {
+        (k, ranks[w[i:j]]) for k, w in enumerate(words) for i in range(len(w)) for j in range(i + 2, len(w) + 1) if w[i:j] in ranks
+    }
+    assert got == want and list(zip(row, rank)) == sorted(zip(row, rank))
+
+
+def test_vocabularies_that_merges_do_not_reach_are_refused():
+    single = {bytes([i]): i for i in range(256)}
+    assert bpe.merge_pairs({**single, b"ab": 256, b"abc": 257})[257] == (256, ord("c"))
+    with pytest.raises(ValueError):
+        bpe.merge_pairs({**single, b"abc": 256})
+
+
 def test_long_words_merge_alike():
     import tiktoken
 
