@@ -16,6 +16,14 @@ SETTINGS = {
 }
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Give a session the adaptive settings the plans rely on; all of them may change while it runs."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(name: str, cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own through spark-submit."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)

@@ -100,3 +100,24 @@ def test_coupon_mapping_grows_with_the_items(spark):
         data = RetailTables(spark, f"/root/testdata/sf{sf}")
         sizes[sf] = data.coupon_item.count() / data.item.count()
     assert max(sizes.values()) < 2 and max(sizes.values()) < 1.5 * min(sizes.values())
+
+
+def test_the_wide_join_of_offers_has_an_exchange_of_its_own(spark):
+    from offerwise.plans.training_table import assemble
+    from offerwise.session import apply_settings
+    from offerwise.sources.retail import RetailTables
+    from offerwise.sources.staging import stage
+
+    apply_settings(spark)
+    data = RetailTables(spark, "/root/testdata/sf0.001")
+    table = stage(offers.offer_table(data.offers, data.campaign), "offer-table")
+    customers = table.groupBy("customer_id").count()
+    few = spark.createDataFrame([(1, 2)], "coupon_id bigint, x int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(assemble(table, few, customers))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = text[text.index("SortMergeJoin") :]
+    assert "Window" not in join and join.count("Exchange hashpartitioning(customer_id") >= 2
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
