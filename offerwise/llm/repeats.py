@@ -34,7 +34,7 @@ from offerwise.sources.staging import stage
 
 LENGTH = 200
 GRAM = 32
-BLOCK = 4_000_000  # bytes hashed together; longer documents are read in overlapping blocks
+BLOCK = 1_000_000  # bytes hashed together; longer documents are read in overlapping blocks
 PLACE_BITS = np.uint64(24)
 SORTED_BYTES = 1_000_000  # of contexts sorted together
 LARGE = 10_000
@@ -337,8 +337,9 @@ def repeated(slim: DataFrame) -> DataFrame:
         runs = runs.unionByName(_large_groups(data.join(hint, "gram", "left_semi")))
     runs = stage(runs, "repeat-runs")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), (F.col("last") - F.col("first")).alias("b")))
-    copies = distinct.where("n > 1").select("gram", "context", F.lit(True).alias("copied"))
-    partly = met.where("mixed").join(runs, ["gram", "context"], "left").join(copies, ["gram", "context"], "left")
+    # One decision for each context, so that its occurrences, however many, are joined once.
+    known = distinct.join(runs, ["gram", "context"], "left").select("gram", "context", (F.col("n") > 1).alias("copied"), "runs")
+    partly = met.where("mixed").join(stage(known, "repeat-known"), ["gram", "context"])
     spans = met.where("not mixed").select("rid", "first", whole.alias("runs")).unionByName(
         partly.select("rid", "first", F.when(F.col("copied"), whole).otherwise(F.col("runs")).alias("runs"))
     )
