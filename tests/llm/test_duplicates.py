@@ -69,6 +69,27 @@ def test_join_matches_brute_force(spark, everything, monkeypatch, region, pivots
     assert got == brute_components(rows, 4, 85)
 
 
+def test_cells_cut_again_keep_links_of_documents_that_no_pivot_holds(spark, monkeypatch):
+    """A region whose base is a pivot, copies that link with the base, and an edit of each that links with it alone."""
+    monkeypatch.setattr(jaccard, "REGION", 10)
+    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard, "DEPTH", 2)
+    n = 30
+    order = spark.range(1, 2 * n + 2).selectExpr("id", "xxhash64(id, 0) as x").orderBy("x").collect()
+    rids = [r.id for r in order]  # the base comes first in the first cut
+    base = set(range(200))
+    copies = [base - set(range(i, i + 14)) | set(range(1000 * i + 1000, 1000 * i + 1014)) for i in range(n)]
+    edits = [s - set(range(100 + i, 106 + i)) | set(range(1000 * i + 1500, 1000 * i + 1506)) for i, s in enumerate(copies)]
+    rows = [(rid, len(s), sorted(s)) for rid, s in zip(rids, [base, *copies, *edits])]
+    sets = spark.createDataFrame(rows, "rid bigint, n int, set array<bigint>")
+    regions = sets.selectExpr(f"{rids[0]}L as region", "rid")
+    for copy, edit in zip(copies, edits):
+        assert 100 * len(copy & base) >= 85 * len(copy | base) and 100 * len(edit & base) < 85 * len(edit | base)
+        assert [100 * len(edit & x) >= 85 * len(edit | x) for x in copies].count(True) >= 1
+    got = {(r.node, r.label) for r in jaccard.components(jaccard._links(regions, sets, 85)).collect()}
+    assert got == {(rid, 1) for rid in rids}
+
+
 def test_join_with_other_parameters_and_one_of_each(spark):
     df = near_copies(spark, 30)
     rows = [(r[0], r[1]) for r in df.collect()]
