@@ -37,7 +37,13 @@ LITERAL = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
 NAME_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.-")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
-PLACEHOLDER = re.compile(r"(?i)change.?me|example|placeholder|your|dummy|redacted|x{4,}|\*{3,}|[<$%]|\Anull\Z|\Anone\Z")
+# Placeholders by their whole form (tags, variables, formats, masked values) or by a whole word in them.
+PLACEHOLDER = re.compile(
+    r"""(?x) \A(?: <[^<>]*> | \$\{[^{}]*\} | \$\([^()]*\) | \$[A-Z_][A-Z0-9_]* | \$[A-Za-z_]+ | %\(\w+\)[sdr]? | %\w+%
+    | \w{0,4}\*{3,}\w{0,4} | (?i:null|none) )\Z
+    | (?<![A-Za-z0-9]) (?i: change[-_.]?me[0-9]* | example | placeholder | dummy | redacted | x{4,}
+    | your (?: (?:own|new|api|app|access|auth|client|secret|private|password|passwd|pass|pwd|token|key)+[0-9]* )? ) (?![A-Za-z0-9])"""
+)
 
 # How much each part of a name says that its value is secret.
 NAME_WEIGHT = {
@@ -56,7 +62,10 @@ def name_weight(name: str) -> float:
 
 
 def literal_weight(value: str) -> float:
-    """0 for short, spaced or placeholder values, else entropy against four bits a character."""
+    """0 for short, spaced or placeholder values, else entropy against four bits a character.
+
+    A $, % or < inside a value, or a placeholder's word inside a longer run of letters, says nothing.
+    """
     if len(value) < LEAST_LENGTH or any(c.isspace() for c in value) or PLACEHOLDER.search(value):
         return 0.0
     n = len(value)

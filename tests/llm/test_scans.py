@@ -53,6 +53,24 @@ def test_literals_follow_names_and_constants():
     assert secrets.find_spans("pwd = 'changeme123'\npassphrase: <your-phrase>") == []
 
 
+def test_literals_with_signs_of_placeholders_inside():
+    masked = {
+        'db_password = "S3cr$t!Pass9xQ"': 'db_password = "[SECRET]"',
+        "smtp_pwd: 'kT9%vL2mQ8zR'": "smtp_pwd: '[SECRET]'",
+        "passphrase: q8W<e7R>t6Y1u": "passphrase: [SECRET]",
+        "pwd = '$ecr3tPass9xQ'": "pwd = '[SECRET]'",
+        'client_pwd = "8dummyZk7qP0x9Lm2"': 'client_pwd = "[SECRET]"',
+        'password = "S3cr3tXY$t!Pass9xQ"': '[SECRET]"',
+    }
+    for text, want in masked.items():
+        assert secrets._masked(text, "[SECRET]") == want, text
+    for value in (
+        "<your-phrase-1>", "${DB_PASSWORD_1}", "$DB_PASSWORD_12", "$(get_key_1)", "%(db_password_1)s", "%DB_PASSWORD_1%",
+        "your-own-value-123", "YOUR_API_KEY_123", "yourpassword123", "my-example-key-1", "sk-xxxxxxxxxx12-xxxx", "ab12********",
+    ):
+        assert secrets.literal_weight(value) == 0.0, value
+
+
 def test_mask_replaces_overlapping_spans_once(spark):
     df = spark.createDataFrame([(1, "a password=" + "a" * 24 + " b"), (2, None), (3, "clean")], "doc_id bigint, text string")
     assert [r.text for r in secrets.mask_secrets(df).orderBy("doc_id").collect()] == ["a [SECRET] b", None, "clean"]
