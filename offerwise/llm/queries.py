@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerwise.llm import bpe, fingerprints, jaccard, langid, licenses, packing, quality, repeats, secrets, urls
+from offerwise.llm import bpe, fingerprints, jaccard, langid, licenses, packing, quality, repeats, runs, secrets, urls
 from offerwise.llm.common import prepare, read_documents
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -70,3 +70,8 @@ def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_jaccard")
 def _jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read_documents(spark, sf_dir))
+
+
+@register("op13_runs")
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_report(read_documents(spark, sf_dir))
