@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerwise.llm import bpe, fingerprints, jaccard, langid, licenses, packing, quality, repeats, runs, secrets, urls
+from offerwise.llm import bpe, fingerprints, jaccard, langid, licenses, packing, quality, repeats, runs, secrets, toxicity, urls
 from offerwise.llm.common import prepare, read_documents
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -75,3 +75,9 @@ def _jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op13_runs")
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_report(read_documents(spark, sf_dir))
+
+
+@register("op11_toxicity")
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return toxicity.toxicity_report(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
