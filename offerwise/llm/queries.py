@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerwise.llm import bpe, fingerprints, jaccard, langid, licenses, packing, quality, repeats, runs, secrets, toxicity, urls
+from offerwise.llm import (
+    bpe, collocations, fingerprints, jaccard, langid, licenses, packing, quality, repeats, runs, secrets, toxicity, urls,
+)
 from offerwise.llm.common import prepare, read_documents
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -81,3 +83,8 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     return toxicity.toxicity_report(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@register("op12_collocations")
+def _collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_documents(spark, sf_dir))
