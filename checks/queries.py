@@ -950,19 +950,35 @@ def _(r):
     return folded.groupBy("customer_id").agg(F.count("*").alias("n"), F.count_distinct("fold").alias("n_folds"))
 
 
-# Learner runs use the package's own settings on the whole training table; one run serves all queries
-# of a session on a folder. Scores depend on the learner, so their SQL states what must hold of them.
-_RUNS: dict[tuple[str, str], model.Fitted] = {}
+# Learner runs use the package's own settings on the whole training table; the matrix, the first fold's model and
+# the whole run are made once for all queries of a session on a folder. Scores depend on the learner, so their SQL
+# states what must hold of them.
+_MADE: dict[tuple[str, str, str], object] = {}
 
 
-def _fitted(r):
-    key = (r.spark.sparkContext.applicationId, r.folder)
-    if key not in _RUNS:
+def _made(r, what: str, make):
+    key = (r.spark.sparkContext.applicationId, r.folder, what)
+    if key not in _MADE:
+        _MADE[key] = make()
+    return _MADE[key]
+
+
+def _matrices(r) -> model.Matrices:
+    def make():
         table = stage(_training(r), "training-table")
         brands = r.item.select("brand")
         table = model.index_text(table, tt.text_features(table), brands)
-        _RUNS[key] = model.redemption_scores(table, tt.feature_columns(table))
-    return _RUNS[key]
+        return model.matrices(table, tt.feature_columns(table))
+
+    return _made(r, "matrices", make)
+
+
+def _first_fold(r) -> model.Boosted:
+    return _made(r, "first fold", lambda: model.train_fold(_matrices(r).train, 0))
+
+
+def _fitted(r) -> model.Fitted:
+    return _made(r, "run", lambda: model.fit(_matrices(r), done={0: _first_fold(r)}))
 
 
 _CTES, _INTS, _DBLS, _TEXT, _SOURCE = _training_parts()
@@ -981,21 +997,21 @@ _SUM = " + ".join(f'coalesce(cast("{c}" as bigint), 0)' for c in _WHOLE)
 )
 def _(r):
     """Cells of the vectors: how many are missing by sentinel and by flag, and the exact sum of the whole numbers."""
-    fitted = _fitted(r)
-    n = len(fitted.features)
-    places = F.array(*[F.lit(i) for i, c in enumerate(fitted.features) if c in set(_WHOLE)])
+    data = _matrices(r)
+    n = len(data.features)
+    places = F.array(*[F.lit(i) for i, c in enumerate(data.features) if c in set(_WHOLE)])
     cells = vector_to_array("features")
     value = lambda i: F.get(C("cells"), i)
     known = F.aggregate(
         places, F.lit(0.0), lambda a, i: a + F.when(value(i) == model.MISSING, 0.0).otherwise(value(i))
     )
-    return fitted.matrix.withColumn("cells", cells).select(
+    return data.train.withColumn("cells", cells).select(
         "id",
         "label",
         "fold",
         F.lit(n).alias("n_features"),
         F.size(F.filter(F.slice("cells", 1, n), lambda x: x == model.MISSING)).alias("n_missing"),
-        F.size(F.filter(F.slice("cells", n + 1, max(1, len(fitted.flags))), lambda x: x == 1)).alias("n_flagged"),
+        F.size(F.filter(F.slice("cells", n + 1, max(1, len(data.flags))), lambda x: x == 1)).alias("n_flagged"),
         known.alias("whole"),
     ).withColumns({c: C(c).cast("bigint") for c in ("label", "whole")})
 
@@ -1007,8 +1023,7 @@ def _sound(p):
 @register("train_fold__M3", sql(ints("id", "fold", "sound"), "(select id, fold, 1 as sound from folded)", q.OFFER, FOLD_CTE))
 def _(r):
     """The first fold's model over all labelled offers."""
-    fitted = _fitted(r)
-    return model.score(fitted.models[0], fitted.matrix).select("id", "fold", _sound(C("p")))
+    return model.score(_first_fold(r), _matrices(r).train).select("id", "fold", _sound(C("p")))
 
 
 @register("score__M4", sql(ints("id", "sound"), "(select id, 1 as sound from impression where train_set = 0)"))

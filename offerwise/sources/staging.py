@@ -46,8 +46,7 @@ def release(spark: SparkSession) -> None:
     """
     folder = _runs.pop(spark.sparkContext.applicationId, None)
     if folder:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -58,4 +57,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and return a scan of what was written."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete one staged table before the run ends, when its last reader has written."""
+    _delete(df.sparkSession, df.staged_path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
