@@ -10,7 +10,7 @@ from offerwise.functions.codes import CATEGORIES
 from offerwise.plans import job
 from offerwise.sources import tables
 
-QUICK = {"maxIter": 2, "maxDepth": 2, "minInstancesPerNode": 2, "featureSubsetStrategy": "all"}
+QUICK = {"maxIter": 2, "maxDepth": 2, "minInstancesPerNode": 2, "featureFraction": 1.0}
 
 
 def save(folder, name, header, rows):
