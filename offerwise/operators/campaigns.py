@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from offerwise.functions.codes import CAMPAIGN_TYPES
 from offerwise.functions.scalars import date_parts, encode, span_days, year_day, year_month
-from offerwise.operators.joins import lookup
+from offerwise.operators.joins import broadcast_rows
+
+# Into how many shares a day's lines are dealt where the calendar is too large to broadcast.
+SHARES = 32
 
 
 def campaign_order(campaign: DataFrame) -> DataFrame:
@@ -44,11 +47,20 @@ def campaign_window_join(
     """Repeat each line for every campaign whose window holds its date; other lines drop out.
 
     The interval condition becomes an equality on the day, so the join hashes instead of testing
-    every line against every campaign. The calendar has one row per campaign-day: a few thousand
-    rows, broadcast after a count, shuffled with skew splitting when it is larger than that.
+    every line against every campaign. The calendar has one row a day with the list of its campaigns, so
+    a line meets one row and is repeated after the join. It is broadcast after a count of the campaign-days;
+    a larger one is dealt with the lines by day and a hash of the line, so that no day stays in one task.
     """
     days = calendar(campaign).select("date", *columns)
-    return lookup(lines, days, ["date"], "inner", max_rows)
+    listed = days.groupBy("date").agg(F.collect_list(F.struct(*columns)).alias("_campaigns"))
+    if days.count() <= (broadcast_rows(days) if max_rows is None else max_rows):
+        met = lines.join(F.broadcast(listed), "date")
+    else:
+        share = F.pmod(F.xxhash64(*lines.columns), F.lit(SHARES)).cast("int")
+        copies = listed.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+        met = lines.withColumn("_share", share).join(copies, ["date", "_share"])
+    others = [c for c in lines.columns if c != "date"]
+    return met.select("date", *others, F.explode("_campaigns").alias("_c")).select("date", *others, "_c.*")
 
 
 def in_window(df: DataFrame, day: str, first: str | Column, last: str | Column) -> DataFrame:

@@ -184,13 +184,17 @@ def widen(stats: DataFrame, families: Iterable[Family | Single]) -> DataFrame:
     """One row per customer with the families' columns.
 
     ``stats`` has one row per customer and measure, so the map gathers a fixed number of entries. A
-    pivot would build every measure times every statistic, most of which no family uses.
+    pivot would build every measure times every statistic, most of which no family uses. Each measure
+    is looked up in the map once; its columns are then taken by place.
     """
     wanted = {k: v for f in families for k, v in f.columns().items()}
     sources = sorted({s for _, s in wanted.values()})
+    place = {m: i for i, m in enumerate(dict.fromkeys(m for m, _ in wanted.values()))}
     entry = F.struct("measure", F.struct(*sources))
     rows = stats.groupBy(CUSTOMER).agg(F.map_from_entries(F.collect_list(entry)).alias("_m"))
-    return rows.selectExpr(CUSTOMER, *[f"_m['{m}'].{s} as `{out}`" for out, (m, s) in wanted.items()])
+    measures = F.array(*[F.lit(m) for m in place])
+    rows = rows.select(CUSTOMER, F.transform(measures, lambda m: F.col("_m")[m]).alias("_a"))
+    return rows.selectExpr(CUSTOMER, *[f"_a[{place[m]}].{s} as `{out}`" for out, (m, s) in wanted.items()])
 
 
 def union_cells(parts: Sequence[DataFrame]) -> DataFrame:

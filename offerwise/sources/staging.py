@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +64,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def stage_together(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Stage tables that do not need each other at the same time, so that one's last tasks leave no core idle."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return list(pool.map(lambda x: stage(x[1], x[0]), tables.items()))
+
+
 def drop(df: DataFrame) -> None:
     """Delete one staged table before the run ends, when its last reader has written."""
     _delete(df.sparkSession, df.staged_path)
