@@ -1,9 +1,12 @@
 """Secret scan by assignment-aware lexing.
 
-Three fixed patterns give the base spans. Around every ``:`` and ``=`` a lexer reads the name before
-and the literal after the operator, keeps the literals in a table of constants, follows names that
-stand for constants, and scores each literal by how sensitive the name it reaches is. Literals that
-score high enough are added as spans of kind ``literal``; the base spans always stay.
+Three fixed patterns give the base spans. Around every ``:``, ``=`` and ``+=`` a lexer reads the name before
+and the literal after the operator (quoted, triple-quoted, several joined by ``+`` or standing side by side,
+or plain up to a blank or sign), and elements ``<name>text</name>`` as well. It keeps the literals in a table of
+constants, follows names that stand for constants, defined before or after, and scores each literal by how
+sensitive the name it reaches is. Literals that score high enough are added as spans of kind ``literal``;
+the base spans always stay. The work is in proportion to the text: in a chain ``a=b=c`` a name ends at the
+next operator, and after any other plain literal the search goes on behind it.
 
 Defined results: a null text is an empty text and has no spans; texts are read whole; repeated rows
 and repeated ids give one row each; only the two named columns are read, so other columns cannot
@@ -14,8 +17,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,8 +37,11 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-OPERATOR = re.compile(r":=|=>|[:=]")
-LITERAL = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([^\s"',;(){}\[\]]+))""")
+OPERATOR = re.compile(r":=|=>|\+=|[:=]")
+QUOTED = re.compile(r"""[ \t]*(?:\"{3}((?:(?!\"{3}).)*)\"{3}|'{3}((?:(?!'{3}).)*)'{3}|"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)')""", re.S)
+JOINED = re.compile(r"""[ \t]*(?:\+[ \t]*)?(?=["'])""")
+PLAIN = re.compile(r"""[ \t]*([A-Za-z_][A-Za-z0-9_.-]*(?=[ \t]*\+?[:=])|[^\s"',;(){}\[\]]+)""")
+ELEMENT = re.compile(r"<([A-Za-z_][A-Za-z0-9_.-]*)>([^<>\n]+)</\1>")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
 NAME_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.-")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
@@ -86,6 +94,18 @@ def _name_before(text: str, at: int) -> str:
     return text[at:end].strip(".-")
 
 
+def _quoted(text: str, pos: int) -> tuple[str, int, int] | None:
+    """Value, start and end of the quoted literals that begin at ``pos`` and are joined."""
+    got = QUOTED.match(text, pos)
+    if not got:
+        return None
+    parts, start, end = [got[got.lastindex]], got.start(got.lastindex), got.end(got.lastindex)
+    while (more := JOINED.match(text, got.end())) and (got := QUOTED.match(text, more.end())):
+        parts.append(got[got.lastindex])
+        end = got.end(got.lastindex)
+    return "".join(parts), start, end
+
+
 def name_literal_pairs(text: str) -> Iterator[tuple[str, str, int, int, bool]]:
     """(name, value, start, end, quoted) for each operator that has a name before and a literal after it."""
     pos = 0
@@ -94,26 +114,37 @@ def name_literal_pairs(text: str) -> Iterator[tuple[str, str, int, int, bool]]:
         if text[pos : pos + 1] == "=" or text[found.start() - 1 : found.start()] in ("!", "<", ">", "="):
             continue
         name = _name_before(text, found.start())
-        if not name or not (got := LITERAL.match(text, pos)):
+        if not name:
             continue
-        group = got.lastindex
-        yield name, got[group], got.start(group), got.end(group), group != 3
+        if got := _quoted(text, pos):
+            yield name, *got, True
+        elif plain := PLAIN.match(text, pos):
+            yield name, plain[1], plain.start(1), plain.end(1), False
+            pos = max(pos, plain.end())
+    if "</" in text:
+        for found in ELEMENT.finditer(text):
+            yield found[1], found[2], found.start(2), found.end(2), True
 
 
 def literal_spans(text: str) -> list[tuple[int, int]]:
     """Spans of literals whose own or propagated target name is sensitive."""
     constants: dict[str, tuple[str, int, int]] = {}
-    out: dict[tuple[int, int], float] = {}
+    targets: list[tuple[float, tuple[str, int, int], bool]] = []
     for name, value, start, end, quoted in name_literal_pairs(text):
-        source = (value, start, end)
-        if not quoted and IDENTIFIER.match(value):
-            source = constants.get(value, source)
+        source, follows = (value, start, end), not quoted and bool(IDENTIFIER.match(value))
+        if follows and value in constants:
+            source, follows = constants[value], False
         constants[name] = source
         weight = name_weight(name)
         if weight >= SENSITIVE:
-            score = weight * literal_weight(source[0])
-            if score >= LEAST_SCORE:
-                out[source[1:]] = score
+            targets.append((weight, source, follows))
+    out: dict[tuple[int, int], float] = {}
+    for weight, source, follows in targets:
+        if follows:
+            source = constants.get(source[0], source)
+        score = weight * literal_weight(source[0])
+        if score >= LEAST_SCORE:
+            out[source[1:]] = score
     return list(out)
 
 
@@ -126,9 +157,14 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if ":" in text or "=" in text:
+    if ":" in text or "=" in text or "</" in text:
         base = sorted((s, e) for s, _, e in spans)
-        spans += [(s, 3, e) for s, e in literal_spans(text) if not any(a <= s and e <= b for a, b in base)]
+        starts = [s for s, _ in base]
+        reach = list(accumulate((e for _, e in base), max))
+        for s, e in literal_spans(text):
+            before = bisect_right(starts, s)
+            if not before or reach[before - 1] < e:
+                spans.append((s, 3, e))
     return [(KINDS[k], s, e) for s, k, e in sorted(spans)]
 
 

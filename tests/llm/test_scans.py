@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import pytest
 from offerwise.llm import licenses, quality, secrets, urls
 
 
@@ -71,6 +72,35 @@ def test_literals_with_signs_of_placeholders_inside():
         assert secrets.literal_weight(value) == 0.0, value
 
 
+def test_constructs_of_the_lexer():
+    whole = "Zk7qP0x9Lm2"
+    cases = {
+        'db_pwd = "Zk7q" "P0x9Lm2"': 'Zk7q" "P0x9Lm2',
+        "db_pwd = 'Zk7q' + 'P0x9Lm2'": "Zk7q' + 'P0x9Lm2",
+        'db_pwd = """Zk7qP0x9Lm2"""': whole,
+        "db_pwd += 'Zk7qP0x9Lm2'": whole,
+        "db_pwd = LATER\nLATER = 'Zk7qP0x9Lm2'": whole,
+        "db_pwd = other = 'Zk7qP0x9Lm2'": whole,
+        "<db-pwd>Zk7qP0x9Lm2</db-pwd>": whole,
+        "x:db_pwd:Zk7qP0x9Lm2": whole,
+        'conn = "host=h;db_pwd=Zk7qP0x9Lm2;port=1"': whole,
+    }
+    for text, want in cases.items():
+        assert [text[s:e] for k, s, e in secrets.find_spans(text) if k == "literal"] == [want], text
+    for text in ("<note>Zk7qP0x9Lm2</note>", "note = 'Zk7q' + 'P0x9Lm2'", "db_pwd == other1234", "db_pwd = LATER"):
+        assert not [k for k, _, _ in secrets.find_spans(text) if k == "literal"], text
+
+
+@pytest.mark.parametrize("unit", ["a=", "token=", "a:", "token:1=", "pwd='", 'db_pwd="x', "a=b&", "<a>", "k: 'v', ", "secret=abcdef ", "a\"+="])
+def test_work_is_in_proportion_to_the_text(unit):
+    import time
+
+    text = unit * (1_000_000 // len(unit))
+    started = time.process_time()
+    secrets.find_spans(text)
+    assert time.process_time() - started < 6  # about 1 s; quadratic work would take hours
+
+
 def test_mask_replaces_overlapping_spans_once(spark):
     df = spark.createDataFrame([(1, "a password=" + "a" * 24 + " b"), (2, None), (3, "clean")], "doc_id bigint, text string")
     assert [r.text for r in secrets.mask_secrets(df).orderBy("doc_id").collect()] == ["a [SECRET] b", None, "clean"]
