@@ -943,11 +943,20 @@ def _(r):
 
 @register(
     "group_folds__M10",
-    sql(ints("customer_id", "n", "n_folds"), "(select customer_id, count(*) as n, 1 as n_folds from impression where train_set = 1 group by 1)"),
+    sql(ints("customer_id", "n", "n_folds", "balanced"), "(select customer_id, count(*) as n, 1 as n_folds, 1 as balanced from impression where train_set = 1 group by 1)"),
 )
 def _(r):
-    folded = ordering.group_folds(r.offers.where(C("train_set") == 1), "customer_id", 10)
-    return folded.groupBy("customer_id").agg(F.count("*").alias("n"), F.count_distinct("fold").alias("n_folds"))
+    """Folds of each customer, and whether fold sizes differ by less than twice the largest light customer."""
+    folded = stage(ordering.group_folds(r.offers.where(C("train_set") == 1), "customer_id", 10), "group-folds")
+    each = folded.groupBy("customer_id").agg(F.count("*").alias("n"), F.count_distinct("fold").alias("n_folds"))
+    sizes = folded.groupBy("fold").agg(F.count("*").alias("size"))
+    spread = sizes.agg((F.max("size") - F.min("size")).alias("spread"), F.sum("size").alias("total"))
+    limit = F.floor(C("total") / (10 * ordering.HEAVY_KEYS))
+    light = F.max(F.when((C("n") <= limit) | (limit == 0), C("n"))).alias("light")
+    told = each.join(F.broadcast(spread)).groupBy("spread").agg(light)
+    balanced = (C("spread") < 2 * F.coalesce("light", F.lit(1))).cast("bigint").alias("balanced")
+    return each.join(F.broadcast(told.select(balanced)))
+
 
 
 # Learner runs use the package's own settings on the whole training table; the matrix, the first fold's model and

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerwise.operators.joins import lookup
+from offerwise.operators.joins import lookup, small_side
 from offerwise.sources.staging import stage
 
 # A group of this many rows still sorts comfortably in one task.
@@ -158,6 +158,55 @@ def contiguous_folds(df: DataFrame, k: int, order: Sequence[Column], out: str =
     return numbered.withColumn(out, fold.cast("int")).drop("_pos", "_pos_total")
 
 
+def running_total(df: DataFrame, order: Sequence[Column], size: str, out: str) -> DataFrame:
+    """Sum of ``size`` over all rows before each row in a total order, without a single-task window."""
+    cut = stage(df.orderBy(*order).withColumn("_part", F.spark_partition_id()), "sorted")
+    sums = cut.groupBy("_part").agg(F.sum(size).alias("_sum"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.withColumn("_local", F.coalesce(F.sum(size).over(within), F.lit(0)))
+    return lookup(local, offsets, ["_part"], "inner").withColumn(out, F.col("_before") + F.col("_local")).drop("_part", "_before", "_local")
+
+
+# A key with more than one hundredth of a fold's share is heavy: fewer than a hundred keys for each fold.
+HEAVY_KEYS = 100
+
+
+def heavy_limit(total: int, k: int) -> int:
+    """Keys with more rows than this are dealt to ``k`` folds one by one."""
+    return total // (k * HEAVY_KEYS)
+
+
 def group_folds(df: DataFrame, key: str, k: int, out: str = "fold") -> DataFrame:
-    """Folds that keep all rows of a key together; the key's hash picks the fold."""
-    return df.withColumn(out, F.pmod(F.xxhash64(key), F.lit(k)).cast("int"))
+    """Folds of about one size that keep all rows of a key together.
+
+    Heavy keys, a bounded list, go to the emptiest fold each, largest first. The light ones lie on a line in the
+    order of their hash, each as long as it has rows; what room the folds have left up to a common level cuts
+    the line. A fold so ends within one light key of the level, or keeps the heavy keys that put it above.
+    Null is a key like any other.
+    """
+    sizes = stage(df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_size")), "group-sizes")
+    total = sizes.agg(F.sum("_size")).first()[0] or 0
+    limit = heavy_limit(total, k)
+    load, heavy = [0] * k, []
+    for row in sizes.where(F.col("_size") > limit).orderBy(F.desc("_size"), "_key").collect() if limit else []:
+        fold = load.index(min(load))
+        load[fold] += row["_size"]
+        heavy.append((row["_key"], fold))
+    rest, level = total - sum(load), max(load, default=0)
+    by_load = sorted(load)
+    for i in range(1, k + 1):  # the level up to which the i emptiest folds together hold the rest
+        level = (sum(by_load[:i]) + rest) / i
+        if i == k or level <= by_load[i]:
+            break
+    bounds, at = [], 0.0
+    for x in load[:-1]:
+        at += max(0.0, level - x)
+        bounds.append(at)
+    light = running_total(sizes.where(F.col("_size") <= limit) if limit else sizes, [F.xxhash64("_key"), F.col("_key")], "_size", "_at")
+    middle = F.col("_at") + F.col("_size") / 2.0
+    cut = sum((F.when(middle >= b, 1).otherwise(0) for b in bounds), F.lit(0)).cast("int")
+    kind = sizes.schema["_key"].dataType.simpleString()
+    dealt = light.select("_key", cut.alias(out)).unionByName(df.sparkSession.createDataFrame(heavy, f"_key {kind}, {out} int"))
+    return df.join(small_side(dealt), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")

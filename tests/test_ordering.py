@@ -101,3 +101,28 @@ def test_group_positions_split_and_whole(spark):
     for hot_rows in (10**6, 60):
         got = ordering.group_positions(df, "k", order, "n", hot_rows)
         assert {r.id: r.n for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("rows, k", [
+    ([i % 700 for i in range(4000)], 4),
+    ([0] * 900 + [1] * 500 + [2] * 300 + [i % 300 + 3 for i in range(2300)], 4),
+    ([0] * 3000 + list(range(1, 400)), 5),
+    ([None] * 40 + [i % 17 for i in range(300)], 3),
+    ([], 3), ([5], 3),
+])
+def test_group_folds_are_of_one_size(spark, rows, k):
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(rows)], "key bigint, i bigint")
+    got = [(r.key, r.fold) for r in ordering.group_folds(df, "key", k).collect()]
+    assert len(got) == len(rows) and len(set(got)) == len(set(rows))
+    assert all(0 <= f < k for _, f in got)
+    sizes = [sum(f == n for _, f in got) for n in range(k)]
+    each = [rows.count(x) for x in set(rows)]
+    limit = ordering.heavy_limit(len(rows), k)
+    light = [n for n in each if n <= limit or not limit]
+    greedy = [0] * k
+    for n in sorted((n for n in each if limit and n > limit), reverse=True):
+        greedy[greedy.index(min(greedy))] += n
+    want, rest = sorted(greedy), sum(light)
+    level = next(x for i in range(1, k + 1) if (x := (sum(want[:i]) + rest) / i) is not None and (i == k or x <= want[i]))
+    for have, before in zip(sizes, greedy):
+        assert abs(have - max(before, level if light else before)) < max(light, default=1)
