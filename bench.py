@@ -32,6 +32,8 @@ HEADLINE = (
     "customer_table__E1",
     "training_table__E2",
 )
+# A learner run is kept for the session, so its first run counts; the training table and matrix are made before it.
+LEARNER = ("feature_matrix__M1", "train_fold__M3")
 
 
 def run(spark, folder: str, name: str) -> float:
@@ -43,11 +45,16 @@ def run(spark, folder: str, name: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", str(os.cpu_count())))
-    wanted = sys.argv[1:] or HEADLINE
+    wanted = sys.argv[1:] or (*HEADLINE, LEARNER[1])
     spark = local_session("bench", cpus, shuffle_partitions=cpus)
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in wanted:
+        if name in LEARNER:
+            run(spark, folder, LEARNER[0])
+            seconds[name] = round(run(spark, folder, name), 3)
+            print(f"{name}: {seconds[name]:.2f}s", file=sys.stderr, flush=True)
+            continue
         first = run(spark, folder, name)
         seconds[name] = round(run(spark, folder, name), 3)
         print(f"{name}: first {first:.2f}s, second {seconds[name]:.2f}s", file=sys.stderr, flush=True)

@@ -13,7 +13,8 @@ SAMPLE = (
     "customer_summary__A1", "usual_items__A7a", "count_grid__A8", "trip_change_wk__V4", "coupon_share__V2",
     "coupon_share_change_dwk__V9", "sp_qty_std_coupon__V15", "sp_qty_std_coupon_filtered__V15", "coupon_rate_by_category__V24",
     "last_days__L1", "last_sp_qty__L6", "cus_coup_shifts__W2c", "campaign_breadth__W7", "contiguous_folds__W6_M2",
-    "coupon_table__C4", "offer_table__E2", "customer_table__E1", "fold_auc__M5",
+    "coupon_table__C4", "offer_table__E2", "customer_table__E1", "fold_auc__M5", "campaign_window_join_shuffled__J5",
+    "group_folds__M10", "feature_matrix__M1", "train_fold__M3",
 )
 
 
