@@ -223,11 +223,3 @@ def test_pipeline_stages_match_brute_force(spark, tmp_path):
 
     assert not any(k in ("access", "hex") for t in text("secret_scan_out").values() for k, _, _ in secrets.find_spans(t or ""))
     assert {r.doc_id for r in docs.collect()} == set(text("packing"))
-
-
-def test_only_members_of_like_size_stay(spark):
-    rows = [(1, 10, 100), (1, 11, 60), (1, 12, 84), (2, 20, 100), (2, 21, 118), (3, 30, 1), (3, 31, 1000), (4, 40, 7)]
-    members = spark.createDataFrame(rows, "region bigint, rid bigint, n bigint")
-    kept = {tuple(r) for r in jaccard._of_like_size(members, 85).collect()}
-    must = {(a, i) for a, i, n in rows for b, j, m in rows if a == b and i != j and 100 * min(n, m) >= 85 * max(n, m)}
-    assert must <= kept and not kept & {(3, 30), (3, 31), (4, 40)}
