@@ -1,7 +1,8 @@
 """Document fingerprints by invertible Bloom lookup sketches.
 
 A text is a set of paragraph digests: 64-bit hashes of its sentences (a line's, or, where a line has
-no sentence ends, parts cut at words whose hash says so), the second and later copies of a paragraph
+no sentence ends, parts cut at words whose hash says so, and where it has no blanks either, at pairs of
+characters whose hash says so), the second and later copies of a paragraph
 counted as paragraphs of their own. Digests are summed into cells at three hashed places each, with a
 count and a checksum sum. The difference of two sketches holds only the paragraphs that differ;
 peeling cells that hold exactly one recovers them. Where peeling gets stuck, both texts are sketched
@@ -33,12 +34,23 @@ SUBTABLES = 3
 BASE_CELLS = 4  # of each subtable of the fingerprint that is returned
 LONG_PARAGRAPH = 64
 
-_ENDS = re.compile(r"(?<=[.!?\n])[ \t]*")
+# Sentence ends of several scripts: full stops, exclamation and question marks.
+_ENDS = re.compile(r"(?<=[.!?\n。！？｡．।॥؟۔።])[ \t]*")
 _WORD = re.compile(r"\S+\s*")
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _CHECK = 0xD6E8FEB86659FD93
 
 
+def _pieces(word: str) -> list[str]:
+    """A run without blanks, cut after the characters that, with the one before, have a hash divisible by 8."""
+    if len(word) <= LONG_PARAGRAPH:
+        return [word]
+    codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    hashed = _mixed(codes[:-1] << np.uint64(32) | codes[1:], _CHECK)
+    cuts = [0, *(np.flatnonzero(hashed % np.uint64(8) == 0) + 2).tolist(), len(word)]
+    return [word[a:b] for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
 def paragraphs(text: str) -> list[str]:
     """The text cut into paragraphs; joined again they differ from it at most in blanks."""
     out = []
@@ -48,7 +60,7 @@ def paragraphs(text: str) -> list[str]:
                 out.append(part)
             continue
         piece = []
-        for word in _WORD.findall(part):
+        for word in (x for run in _WORD.findall(part) for x in _pieces(run)):
             piece.append(word)
             if zlib.crc32(word.rstrip().encode("utf-8", "replace")) % 5 == 0:
                 out.append("".join(piece))
@@ -238,28 +250,30 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``, compared with its edited text and with the next document.
 
-    Ids are cut into ranges of equal width, many more than there are tasks, and each range is sorted
-    in one task. Rows with a range's first id are sent to the range before as well, where they only
-    serve as successors, so the texts are shuffled once.
+    Ids are cut into ranges of about equal numbers of rows, more than there are tasks, at approximate
+    quantiles, and each range is sorted in one task. Rows with a range's first id are sent to the range
+    before as well, where they only serve as successors, so the texts are shuffled once.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    low, high, rows = slim.agg(F.min("id"), F.max("id"), F.count("*")).first()
-    low, high = (0, 0) if low is None else (low - 1, high)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, min(4 * tasks, rows // 500))
-    width = -(-(high - low + 1) // buckets)
-    place = F.coalesce(F.col("id"), F.lit(low))
-    keyed = slim.select("*", place.alias("place"), F.floor((place - low) / width).cast("int").alias("bucket"))
+    buckets = 4 * tasks
+    steps = [(i + 1) / buckets for i in range(buckets - 1)]
+    found = slim.agg(F.percentile_approx(F.col("id").cast("long"), steps, max(10_000, 4 * buckets))).first()[0]
+    borders = sorted(set(found or []))
+    # Null ids come first, in the range below all borders.
+    bucket = F.coalesce(F.size(F.filter(F.lit(borders), lambda b: b <= F.col("id"))), F.lit(0)) if borders else F.lit(0)
+    keyed = slim.select("*", bucket.alias("bucket"))
     # One row for each range: at most four for each task.
-    firsts = keyed.groupBy("bucket").agg(F.min("place").alias("place")).orderBy("bucket").collect()
-    before = [(firsts[i - 1]["bucket"], row["place"]) for i, row in enumerate(firsts)]
-    tails = spark.createDataFrame(before, "before int, place bigint")
-    again = keyed.join(F.broadcast(tails), "place").select("id", "text", "place", F.col("before").alias("bucket"))
-    both = keyed.select("bucket", F.lit(False).alias("tail"), "place", "id", "text").unionByName(
-        again.select("bucket", F.lit(True).alias("tail"), "place", "id", "text")
+    first = F.min(F.struct(F.col("id").isNotNull().alias("known"), F.col("id").cast("long").alias("id")))
+    firsts = keyed.groupBy("bucket").agg(first["id"].alias("id")).orderBy("bucket").collect()
+    before = [(firsts[i - 1]["bucket"], row["id"]) for i, row in enumerate(firsts)]
+    tails = F.broadcast(spark.createDataFrame(before, "before int, first bigint"))
+    again = keyed.join(tails, F.col("id").eqNullSafe(F.col("first"))).select("id", "text", F.col("before").alias("bucket"))
+    both = keyed.select("bucket", F.lit(False).alias("tail"), "id", "text").unionByName(
+        again.select("bucket", F.lit(True).alias("tail"), "id", "text")
     )
-    sorted_ = both.repartition(tasks, "bucket").sortWithinPartitions("bucket", "tail", "place", "text")
+    sorted_ = both.repartition(tasks, "bucket").sortWithinPartitions("bucket", "tail", "id", "text")
     out = sorted_.select("bucket", "tail", "id", "text").mapInArrow(_run, f"id {kind}, {SCHEMA}")
     return out.withColumnRenamed("id", id_col)
