@@ -28,6 +28,7 @@ from offerwise.sources.staging import stage
 
 UNKNOWN = "und"
 SAMPLE_DOCS = 250
+SHARES = 16  # parts of a language that are ranked apart first
 ROUNDS = 2
 SMOOTHING = 0.1
 LONGEST_PIECE = 12
@@ -120,16 +121,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sample_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(lang, word, n) of the bounded sample of labelled documents that are not held out."""
+    """(lang, word, n) of the bounded sample of labelled documents that are not held out.
+
+    Documents are ranked in hash shares of a language first, so that the task of a language sees
+    ``SHARES * sample_docs`` of them however many there are.
+    """
     labelled = docs.where(~held_out() & F.col("lang").isNotNull())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        labelled.select("doc_id", "lang")
-        .distinct()
-        .withColumn("place", F.row_number().over(first))
-        .where(F.col("place") <= sample_docs)
-        .select("doc_id", "lang")
-    )
+    order = F.xxhash64("doc_id"), F.col("doc_id")
+    ids = labelled.select("doc_id", "lang").distinct().withColumn("share", F.pmod(order[0], F.lit(SHARES)))
+    chosen = ids
+    for keys in (("lang", "share"), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        chosen = chosen.withColumn("place", place).where(F.col("place") <= sample_docs).select("doc_id", "lang", "share")
     # sample_docs rows for each language: a proven bound.
     texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")
     counts = texts.mapInArrow(_count, "lang string, word string, n bigint")
@@ -234,15 +237,20 @@ def fit(docs: DataFrame, vocabulary: str, sample_docs: int = SAMPLE_DOCS, rounds
     words = stage(sample_words(docs, sample_docs), "langid-words")
     langs = sorted(row[0] for row in words.select("lang").distinct().collect())
     pieces = pieces_of(vocabulary)
-    prob = {lang: dict.fromkeys(pieces, 1.0 / len(pieces)) for lang in langs}
+    at = {p: i for i, p in enumerate(pieces)}
+    prob = np.full((len(langs), len(pieces)), 1.0 / len(pieces))  # 8 bytes a piece and language
     for _ in range(rounds if langs else 0):
-        now = spark.sparkContext.broadcast(prob)
+        now = spark.sparkContext.broadcast((langs, pieces, prob))
 
         def count(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             sums: dict[str, Counter] = {}
+            known: dict[str, dict[str, float]] = {}
+            names, parts, table = now.value
             for batch in batches:
                 for lang, word, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                    expected(word, n, now.value[lang], sums.setdefault(lang, Counter()))
+                    if lang not in known:
+                        known[lang] = dict(zip(parts, table[names.index(lang)].tolist()))
+                    expected(word, n, known[lang], sums.setdefault(lang, Counter()))
             rows = [(lang, piece, x) for lang, counts in sums.items() for piece, x in counts.items()]
             kinds = (pa.string(), pa.string(), pa.float64())
             yield pa.RecordBatch.from_arrays(
@@ -251,14 +259,13 @@ def fit(docs: DataFrame, vocabulary: str, sample_docs: int = SAMPLE_DOCS, rounds
 
         spread = words.repartition(spark.sparkContext.defaultParallelism, "lang", "word")
         sums = spread.mapInArrow(count, "lang string, piece string, x double").groupBy("lang", "piece").agg(F.sum("x"))
-        got: dict[str, dict[str, float]] = {lang: {} for lang in langs}
+        got = np.full(prob.shape, SMOOTHING)
+        row = {lang: i for i, lang in enumerate(langs)}
         for lang, piece, x in sums.collect():  # at most the fixed vocabulary for each language
-            got[lang][piece] = x
-        for lang in langs:
-            whole = sum(got[lang].values()) + SMOOTHING * len(pieces)
-            prob[lang] = {p: (got[lang].get(p, 0.0) + SMOOTHING) / whole for p in pieces}
+            got[row[lang], at[piece]] += x
+        prob = got / got.sum(axis=1, keepdims=True)
         now.unpersist()
-    return Model(langs, pieces, np.array([[prob[lang][p] for lang in langs] for p in pieces]))
+    return Model(langs, pieces, np.ascontiguousarray(prob.T))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -279,7 +286,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def with_prediction(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns lang_pred and score added; it must not have columns of these names."""
+    """``docs`` with the columns lang_pred and score added, in place of any that it has of these names."""
+    docs = docs.drop("lang_pred", "score")
     names = docs.columns
     at = names.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
