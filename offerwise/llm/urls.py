@@ -63,12 +63,19 @@ def _month(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
-def evaluate(captures: DataFrame, entries: DataFrame, last_day: str) -> DataFrame:
+def evaluate(captures: DataFrame, entries: DataFrame, last_day: str | None = None) -> DataFrame:
     """``captures`` (page_id, url, fetch_date) with n_active, verdict_key, verdict_list and kept.
 
-    ``last_day`` bounds the months that an open interval is cut into: no capture is later.
+    ``last_day`` bounds the months that an open interval is cut into; a later capture is an error.
+    Without it the last fetch date is looked up, by one pass over that column.
     """
-    until = F.least(F.date_sub("valid_to", 1), F.lit(last_day).cast("date"))
+    if last_day is None:
+        last_day = captures.agg(F.coalesce(F.max("fetch_date"), F.lit(FIRST_DAY).cast("date"))).first()[0]
+    end = F.lit(last_day).cast("date")
+    late = F.raise_error(F.concat(F.lit("a capture is later than the last day: "), F.col("fetch_date").cast("string")))
+    day = F.when(F.col("fetch_date") > end, late.cast("date")).otherwise(F.col("fetch_date"))
+    captures = captures.withColumn("fetch_date", day)
+    until = F.least(F.date_sub("valid_to", 1), end)
     by_month = (
         intervals(entries)
         .where(F.col("valid_from") <= until)
