@@ -6,8 +6,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows per Arrow batch: bounds what a Python worker holds when documents are long.
+# Rows and bytes per Arrow batch: bound what a Python worker holds when documents are long.
 BATCH_ROWS = 1000
+BATCH_BYTES = 32 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -22,6 +23,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     if root not in known.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
