@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from offerwise.llm import jaccard, repeats
+from pyspark.sql import functions as F
 
 
 def brute_components(rows, words, percent):
@@ -223,3 +224,34 @@ def test_pipeline_stages_match_brute_force(spark, tmp_path):
 
     assert not any(k in ("access", "hex") for t in text("secret_scan_out").values() for k, _, _ in secrets.find_spans(t or ""))
     assert {r.doc_id for r in docs.collect()} == set(text("packing"))
+
+
+@pytest.mark.parametrize("rows", ["all", "none"])
+def test_pipeline_of_awkward_rows(spark, awkward, tmp_path, rows):
+    """Nulls, empty and long texts, repeated rows and ids, clashing columns, and a table without rows."""
+    import corpus_pipeline
+
+    docs = awkward.withColumn("source", F.lit("s")).withColumn("n_chars", F.length("text").cast("long"))
+    docs = docs if rows == "all" else docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, "").write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name != "packing":
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+        if name == "language_id" and rows == "all":
+            assert docs.where("lang is null").count() == 0
+            letters = [r.text for r in awkward.collect() if any(c.isalpha() for c in r.text or "")]
+            assert sorted(r.text for r in docs.collect()) == sorted(letters)
+    assert (docs.count() > 0) == (rows == "all")
+
+
+def test_pipeline_leaves_only_its_last_table(spark):
+    import glob
+
+    import corpus_pipeline
+    from offerwise.sources.staging import run_folder
+
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert out.count() > 0
+    left = {path.split("pipeline-")[1].rsplit("-", 1)[0] for path in glob.glob(f"{run_folder(spark)}/pipeline-*")}
+    assert left == {corpus_pipeline.STAGES[-1][0]}

@@ -198,3 +198,9 @@ def test_url_list_intervals_decide_as_of_the_fetch_date(spark):
         (8, 0, None, True), (9, 0, None, True), (10, 1, "bad.org", False), (11, 0, None, True),
     ]
     assert urls.evaluate(captures, entries.limit(0), "2020-12-31").where("kept").count() == 12
+    # Without a stated last day it is taken from the captures; one that is too early is an error.
+    found = urls.evaluate(captures, entries).collect()
+    assert sorted((r.page_id, r.n_active, r.verdict_key, r.kept) for r in found) == got
+    assert urls.evaluate(captures.limit(0), entries).count() == 0
+    with pytest.raises(Exception, match="later than the last day"):
+        urls.evaluate(captures, entries, "2020-02-01").collect()

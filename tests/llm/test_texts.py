@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from offerwise.llm import bpe, fingerprints, langid, packing
+from pyspark.sql import functions as F
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -55,6 +56,29 @@ def test_fingerprints_match_brute_force(spark, everything):
     assert all(len(x) == 1 for x in by_text.values())
 
 
+def test_fingerprints_of_uneven_ids(spark):
+    """Ids at both ends of 64 bits, an outlier, and repeated ids: right successors, and no range holds most rows."""
+    ids = [-(2**63), 2**63 - 1, 2**62, *range(400), 7, 7]
+    rows = [(i, f"Text {k} of many. It is like no other.") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    out = fingerprints.compare_with_next(df).withColumn("part", F.spark_partition_id()).collect()
+    order = sorted(rows)
+    for (i, text), (_, following) in zip(order, order[1:] + order[:1]):
+        n = len(text) // 4
+        edited = hashlib.sha256((text[: len(text) - n] + following[:n]).encode()).hexdigest()
+        assert any(r.doc_id == i and r.edited_sha256 == edited for r in out)
+    assert len(out) == len(rows) and max(Counter(r.part for r in out).values()) < 0.7 * len(rows)
+
+
+def test_paragraphs_without_blanks():
+    text = "".join(map(chr, np.random.default_rng(3).integers(0x4E00, 0x6E00, 20_000).tolist()))
+    parts = fingerprints.paragraphs(text)
+    assert "".join(parts) == text and len(parts) > 200
+    edited = fingerprints.digests(text[:9000] + "改" + text[9000:])
+    assert len(set(fingerprints.digests(text).tolist()) ^ set(edited.tolist())) < 10
+    assert fingerprints.paragraphs("第一句。第二句！") == ["第一句。", "第二句！"]
+
+
 @pytest.mark.parametrize("size", [0, 1])
 def test_fingerprints_of_very_small_tables(spark, size):
     df = spark.createDataFrame([(5, "Some words. And more words.")][:size], "doc_id bigint, text string")
@@ -226,3 +250,18 @@ def test_language_of_awkward_rows(awkward):
     empty = langid.identify(awkward.where("lang is null"), PIECES).collect()
     assert {(r.lang_pred, r.score) for r in empty} == {("und", 0.0)}
     assert langid.identify(awkward.limit(0), PIECES).count() == 0
+    model = langid.fit(awkward, PIECES)
+    again = langid.with_prediction(awkward.withColumn("lang_pred", F.lit(1)), model)
+    assert again.columns.count("lang_pred") == again.columns.count("score") == 1 and again.count() == awkward.count()
+
+
+def test_language_sample_is_the_smallest_hashes_of_each_language(spark):
+    rows = [(i, f"w{i}", "ab"[i % 3 == 0]) for i in range(600)] + [(4, "w4", "a")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {(r.lang, r.word) for r in langid.sample_words(df, 20).collect()}
+    hashed = df.where(~langid.held_out()).select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct().collect()
+    assert got == {("a", "▁w"), ("b", "▁w")}
+    counts = {r.lang: r.n for r in langid.sample_words(df, 20).collect()}
+    first = {x: sorted((r.h, r.doc_id) for r in hashed if r.lang == x)[:20] for x in "ab"}
+    copies = Counter((r[2], r[0]) for r in rows)
+    assert counts == {x: sum(copies[(x, i)] for _, i in first[x]) for x in "ab"}
