@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from offerwise.operators.lines import add_items, describe_lines
 from offerwise.operators.offers import union_train_test
 from offerwise.plans import model
 from offerwise.plans.training_table import feature_columns, text_features, training_table
+from offerwise.sources.manifest import Manifest, files_state
 from offerwise.sources.staging import release, stage
 from offerwise.sources.tables import read_campaigns, read_table, write_importance, write_scores
 
@@ -41,20 +43,36 @@ def run_job(
     folds: int = model.FOLDS,
     params: Mapping | None = None,
     categories: Sequence[str] = CATEGORIES,
+    run: str | None = None,
     **recency,
 ) -> DataFrame:
     """Write ``out/submission`` and ``out/importance``; return the ROC area of each fold.
 
-    What the run has staged is released at the end.
+    What the run has staged is released at the end. Under a name (``run``) the training table, the
+    matrices and each fold's model are kept until the results are written: a second attempt with the
+    same files and settings starts with what the first had finished.
     """
-    table, item = table_from_files(spark, folder, categories, **recency)
-    table = stage(table, "job-table")
-    text = text_features(table)
-    table = model.index_text(table, text, item.select("brand")) if text else table
-    fitted = model.redemption_scores(table, feature_columns(table), folds, params)
-    write_scores(fitted.scores, f"{out}/submission")
-    per_fold = model.fold_importance(fitted.models, fitted.features, spark, fitted.flags)
-    write_importance(model.mean_importance(per_fold), f"{out}/importance")
-    areas = model.auc(fitted.held, "p", "label", ["fold"]).collect()  # one row a fold
-    release(spark)
+    manifest = None
+    if run is not None:
+        files = files_state(spark, [f"{folder}/{n}.csv" for n in INPUTS])
+        settings = [folder, files, folds, params, list(categories), recency]
+        manifest = Manifest(spark, run, json.dumps(settings, sort_keys=True, default=str))
+
+    def table_() -> DataFrame:
+        table, item = table_from_files(spark, folder, categories, **recency)
+        table = stage(table, "job-table")
+        text = text_features(table)
+        return model.index_text(table, text, item.select("brand")) if text else table
+
+    try:
+        table = manifest.stage("table", table_) if manifest else table_()
+        fitted = model.redemption_scores(table, feature_columns(table), folds, params, manifest)
+        write_scores(fitted.scores, f"{out}/submission")
+        per_fold = model.fold_importance(fitted.models, fitted.features, spark, fitted.flags)
+        write_importance(model.mean_importance(per_fold), f"{out}/importance")
+        areas = model.auc(fitted.held, "p", "label", ["fold"]).collect()  # one row a fold
+    finally:
+        release(spark)
+    if manifest:
+        manifest.close()
     return spark.createDataFrame([tuple(r) for r in areas], "fold int, auc double")

@@ -48,7 +48,7 @@ def release(spark: SparkSession) -> None:
     """
     folder = _runs.pop(spark.sparkContext.applicationId, None)
     if folder:
-        _delete(spark, folder)
+        delete(spark, folder)
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -72,9 +72,14 @@ def stage_together(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
 
 def drop(df: DataFrame) -> None:
     """Delete one staged table before the run ends, when its last reader has written."""
-    _delete(df.sparkSession, df.staged_path)
+    delete(df.sparkSession, df.staged_path)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -3,12 +3,17 @@
 import csv
 import datetime as dt
 import random
+import threading
 
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from offerwise.functions.codes import CATEGORIES
-from offerwise.plans import job
+from offerwise.plans import job, model
 from offerwise.sources import tables
+from offerwise.sources.manifest import Manifest, files_state
+from offerwise.sources.staging import exists
 
 QUICK = {"maxIter": 2, "maxDepth": 2, "minInstancesPerNode": 2, "featureFraction": 1.0}
 
@@ -61,3 +66,72 @@ def test_swapped_columns_stop_the_job(spark, files):
     (files / "coupon_item_mapping.csv").write_text(text)
     with pytest.raises(Exception, match="(?i)header|column"):
         job.table_from_files(spark, str(files))[0].count()
+
+
+def test_a_named_run_goes_on_where_it_was_killed(spark, files, tmp_path, monkeypatch):
+    """Killed in its second fold, it neither builds the table again nor trains the first fold again."""
+    folder, run = str(files), f"again-{tmp_path.name}"
+    train, trained = model.train_fold, []
+    first_ended = threading.Event()
+
+    def killed(matrix, fold, params):
+        if fold == 1:
+            # The other fold's model must be noted before the job dies.
+            assert first_ended.wait(120)
+            raise RuntimeError("lost")
+        return train(matrix, fold, params)
+
+    note = Manifest.note
+
+    def noted(self, label, *args):
+        note(self, label, *args)
+        if label == "fold-0":
+            first_ended.set()
+
+    with monkeypatch.context() as m:
+        m.setattr(model, "train_fold", killed)
+        m.setattr(Manifest, "note", noted)
+        with pytest.raises(RuntimeError, match="lost"):
+            job.run_job(spark, folder, str(files / "out"), folds=2, params=QUICK, run=run)
+    monkeypatch.setattr(model, "train_fold", lambda m, fold, p: trained.append(fold) or train(m, fold, p))
+    monkeypatch.setattr(job, "table_from_files", lambda *a, **k: pytest.fail("the table was built again"))
+    areas = job.run_job(spark, folder, str(files / "out"), folds=2, params=QUICK, run=run)
+    assert trained == [1] and sorted(r.fold for r in areas.collect()) == [0, 1]
+    scores = tables.read_table(spark, f"{files}/out/submission", "submission").collect()
+    assert sorted(r.id for r in scores) == list(range(1000, 1040))
+    assert not exists(spark, Manifest(spark, run).folder)
+
+
+def test_a_saved_model_scores_as_before(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, i % 2, float(i % 7 < 3), Vectors.dense(i % 7, rng.random())) for i in range(60)]
+    schema = StructType().add("id", IntegerType()).add("fold", IntegerType()).add("label", DoubleType()).add("features", VectorUDT())
+    matrix = spark.createDataFrame(rows, schema)
+    fitted = model.train_fold(matrix, 0, QUICK)
+    again = model.load_model(str(tmp_path / "m"), model.save_model(fitted, str(tmp_path / "m")))
+    assert len(again.rounds) == len(fitted.rounds) > 0
+    before, after = (sorted((r.id, r.p) for r in model.score(x, matrix).collect()) for x in (fitted, again))
+    assert before == after
+
+
+def test_manifest_entries_hold_for_their_settings(spark, tmp_path):
+    m = Manifest(spark, f"m-{tmp_path.name}", "a")
+    first = m.stage("t", lambda: spark.range(3)).collect()
+    assert m.stage("t", lambda: pytest.fail("built again")).collect() == first
+    other = Manifest(spark, f"m-{tmp_path.name}", "b")
+    assert other.find("t") is None and other.stage("t", lambda: spark.range(5)).count() == 5
+    spark.range(2).write.parquet(m.new_path("half"))  # written but not noted
+    assert m.find("half") is None and m.find("t") is not None
+    m.close()
+    assert m.find("t") is None
+    with pytest.raises(ValueError, match="name"):
+        Manifest(spark, "../elsewhere")
+
+
+def test_files_state_changes_with_the_files(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("a\n1\n")
+    before = files_state(spark, [str(path)])
+    assert files_state(spark, [str(path)]) == before
+    path.write_text("a\n1\n2\n")
+    assert files_state(spark, [str(path)]) != before
