@@ -91,6 +91,36 @@ def test_cells_cut_again_keep_links_of_documents_that_no_pivot_holds(spark, monk
     assert got == {(rid, 1) for rid in rids}
 
 
+def test_a_region_compares_no_set_twice(monkeypatch):
+    """Copies of one base at many distances: most lie near many pivots, and few of them are linked."""
+    rng = np.random.default_rng(11)
+    sets = []
+    for i in range(150):
+        at = rng.choice(200, rng.integers(8, 20), replace=False)
+        sets.append(np.unique(np.concatenate([np.delete(np.arange(200), at), 1000 * (i + 1) + np.arange(len(at))])).astype(np.uint64))
+    plain = [set(x.tolist()) for x in sets]
+    calls, overlaps = Counter(), jaccard.Region.overlaps
+
+    def counted(self, i):
+        calls[i] += 1
+        out = overlaps(self, i)
+        assert out.tolist() == [len(plain[i] & x) for x in plain]
+        return out
+
+    monkeypatch.setattr(jaccard.Region, "overlaps", counted)
+    got = jaccard.Union(len(sets))
+    for a, b in jaccard.join_region(sets, [2] * len(sets), list(range(len(sets))), 85):
+        assert got.join(a, b)
+    want = jaccard.Union(len(sets))
+    for i, x in enumerate(plain):
+        for j, y in enumerate(plain[:i]):
+            if 100 * len(x & y) >= 85 * len(x | y):
+                want.join(i, j)
+    tops = [got.find(i) for i in range(len(sets))]
+    assert tops == [want.find(i) for i in range(len(sets))] and 1 < len(set(tops)) < 150
+    assert max(calls.values()) == 1
+
+
 def test_join_with_other_parameters_and_one_of_each(spark):
     df = near_copies(spark, 30)
     rows = [(r[0], r[1]) for r in df.collect()]
