@@ -121,6 +121,29 @@ def test_a_region_compares_no_set_twice(monkeypatch):
     assert max(calls.values()) == 1
 
 
+def test_screening_drops_what_shares_too_little_and_keeps_all_links(spark):
+    """One region: links, a text that has under half in common with others, and one that holds another but is too long."""
+    rng = np.random.default_rng(3)
+    word = lambda n: ["w" + str(x) for x in rng.integers(0, 10**9, n)]
+    base = word(600)
+    near = [base[:at] + word(8) + base[at + 8 :] for at in (50, 200, 400)]
+    texts = [base, *near, base[:270] + word(330), base + word(500)]
+    chain = word(500)
+    for _ in range(8):
+        chain = chain[30:] + word(30)
+        texts.append(chain)
+    docs = spark.createDataFrame([(i, i, " ".join(t)) for i, t in enumerate(texts)], "id bigint, x bigint, text string")
+    docs = docs.select("id", "text", "x").coalesce(1)
+    base = docs.mapInArrow(
+        jaccard._base(4, 85), "id bigint, x bigint, n bigint, key binary, counted bigint, low array<bigint>"
+    ).withColumnRenamed("id", "rid")
+    regions = spark.range(len(texts)).selectExpr("7L as region", "id as rid")
+    kept = {r.rid for r in jaccard._screened(regions, base, 85).collect()}
+    sets = [set(jaccard.shingles(" ".join(t)).tolist()) for t in texts]
+    linked = {i for i, x in enumerate(sets) for j, y in enumerate(sets) if i != j and 100 * len(x & y) >= 85 * len(x | y)}
+    assert linked >= {0, 1, 2, 3, 6, 7, 13} and kept >= linked and not kept & {4, 5}
+
+
 def test_join_with_other_parameters_and_one_of_each(spark):
     df = near_copies(spark, 30)
     rows = [(r[0], r[1]) for r in df.collect()]
