@@ -38,3 +38,25 @@ def test_folds_at_the_same_time_are_bounded_by_the_matrix(matrix, monkeypatch):
         with model.kept(matrix) as found:
             assert (found, matrix.storageLevel.useDisk) == (together, near)
     assert not matrix.storageLevel.useDisk
+
+
+def test_matrix_query_stages_the_training_table_once(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from checks import queries
+
+    data = [(i, i, 100, 1, 2, int(i < 8), i % 2, "b" if i else None) for i in range(10)]
+    names = "id bigint, customer_id bigint, start_date_ord int, coupon_id bigint, campaign_id int, train_set int, redemption_status int, MCbrand string"
+    table, labels = spark.createDataFrame(data, names), []
+
+    def watched(df, label):
+        labels.append(label)
+        return staging.stage(df, label)
+
+    monkeypatch.setattr(queries, "_training", lambda r: table)
+    monkeypatch.setattr(queries, "stage", watched)
+    monkeypatch.setattr(model, "stage", watched)
+    item = spark.createDataFrame([("a",), ("b",)], "brand string")
+    found = queries._matrices(SimpleNamespace(spark=spark, folder="small", item=item))
+    assert labels.count("training-table") == 1
+    assert found.train.count() == 8 and found.test.count() == 2 and found.flags == ["MCbrand"]
